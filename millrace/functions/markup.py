@@ -8,8 +8,8 @@ nested in one of its own name ends early.
 
 from __future__ import annotations
 
+import json
 import re
-from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
@@ -18,8 +18,11 @@ _VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"']++)"""
 _ATTRIBUTE = rf"[^\s=>/]++(?:\s*+=\s*+{_VALUE})?+"
 _ATTRIBUTES = rf"(?:[\s/]++(?:{_ATTRIBUTE})?+)*+"
 
-# fixed values: the named entities read, besides numeric ones and &amp;
+_HELD_AMPERSAND = "\ue000"  # a private-use character stands for & until the end
+
+# fixed values: the named entities read, besides numeric ones
 ENTITIES = {
+    "&amp;": _HELD_AMPERSAND,
     "&lt;": "<",
     "&gt;": ">",
     "&quot;": '"',
@@ -40,8 +43,7 @@ ENTITIES = {
     "&rdquo;": "”",
     "&euro;": "€",
 }
-_AMPERSANDS = "&amp;|&#38;|&#x26;"
-_HELD_AMPERSAND = "\ue000"  # private-use character
+_ENTITY = "&(?:[a-zA-Z]++|#[0-9]{1,6}+|#[xX][0-9a-fA-F]{1,5}+);"
 
 
 def start_tag(name: str) -> str:
@@ -105,23 +107,27 @@ def raw_text(html: Column) -> Column:
 
 
 def unescape(c: Column) -> Column:
-    """Read the listed named entities and all numeric ones, each of them once.
+    """Read the listed named entities and all numeric ones; anything else stays as it is written.
 
-    Refers to its input several times: give it a column, not an expression.
+    Ampersands are put in last, so that ``&amp;lt;`` reads as ``&lt;``. Refers to its input several
+    times: give it a column, not an expression.
     """
-    held = F.regexp_replace(c, _AMPERSANDS, _HELD_AMPERSAND)
-    named = reduce(lambda acc, e: F.replace(acc, F.lit(e[0]), F.lit(e[1])), ENTITIES.items(), held)
-    numeric = F.lit("&#(?:[xX][0-9a-fA-F]{1,5}|[0-9]{1,6});")
-    codes = F.array_distinct(F.regexp_extract_all(named, numeric, F.lit(0)))
-    read = F.reduce(codes, named, lambda acc, e: F.replace(acc, e, _character(e)))
+    characters = F.from_json(F.lit(json.dumps(ENTITIES)), "map<string,string>")
+    found = F.array_distinct(F.regexp_extract_all(c, F.lit(_ENTITY), F.lit(0)))
+    read = F.reduce(
+        found,
+        c,
+        lambda text, e: F.replace(text, e, F.coalesce(F.element_at(characters, e), _numeric(e), e)),
+    )
     return F.when(c.contains("&"), F.replace(read, F.lit(_HELD_AMPERSAND), F.lit("&"))).otherwise(c)
 
 
-def _character(entity: Column) -> Column:
-    digits = F.regexp_extract(entity, "&#[xX]?([0-9a-fA-F]+);", 1)
+def _numeric(entity: Column) -> Column:
+    digits = F.nullif(F.regexp_extract(entity, "^&#[xX]?([0-9a-fA-F]+);", 1), F.lit(""))
     base = F.when(F.lower(entity).startswith("&#x"), F.lit(16)).otherwise(F.lit(10))
     code_point = F.lpad(F.call_function("conv", digits, base, F.lit(16)), 8, "0")
-    return F.decode(F.unhex(code_point), "UTF-32")
+    character = F.decode(F.unhex(code_point), "UTF-32")
+    return F.when(character == "&", F.lit(_HELD_AMPERSAND)).otherwise(character)
 
 
 def _match(html: Column, pattern: str) -> Column:

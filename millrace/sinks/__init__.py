@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from millrace.operators.columns import quoted
 from millrace.sources.probe import list_files
@@ -14,8 +14,11 @@ from millrace.sources.probe import list_files
 
 @dataclass(frozen=True)
 class Receipt:
+    """What was written where; ``schema`` reads it back with its types, partition values included."""
+
     path: str
     rows: int
+    schema: T.StructType
 
 
 def write_parquet(
@@ -44,12 +47,12 @@ def write_parquet(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return Receipt(path, counted.get["rows"])
+    return Receipt(path, counted.get["rows"], df.schema)
 
 
-def read_parquet(df_schema, spark: SparkSession, path: str) -> DataFrame:
-    """Read a dataset with the schema it was written with, so partition values keep their type."""
-    return spark.read.schema(df_schema).parquet(path)
+def read_back(spark: SparkSession, receipt: Receipt) -> DataFrame:
+    """The dataset a receipt speaks of. The stated schema keeps partition values from being guessed."""
+    return spark.read.schema(receipt.schema).parquet(receipt.path)
 
 
 def write_csv(df: DataFrame, path: str, encoding: str = "UTF-8", sep: str = ",") -> str:

@@ -59,7 +59,10 @@ def _parsed(pages: DataFrame, html: str, keep: Sequence[str]) -> DataFrame:
     )
     parts = {"title": "title", "price": "price", "availability": "availability", "stars": "rating"}
     reason = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(part)) for c, part in parts.items()])
-    return read.withColumns({"rating": rating_from_word(F.col("stars")), "reason": reason})
+    fields = ["block", *_RECORD[:3], rating_from_word(F.col("stars")).alias("rating"), reason.alias("reason")]
+    # a filter on generated columns stays above the generator; on projected ones it would move down
+    # to the blocks and take a copy of all the parsing along
+    return read.select(*kept, F.inline(F.array(F.struct(*fields))))
 
 
 def with_next_url(pages: DataFrame, base_url: str, html: str = "html", name: str = "next_url") -> DataFrame:

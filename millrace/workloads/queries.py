@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millrace import sinks
 from millrace.functions import buckets, text
 from millrace.operators import catalogue, columns, quality, rows
-from millrace.plans.job import Job, Source, build, run
+from millrace.plans.job import Job, Source, run
 from millrace.schemas import CANONICAL, SOURCES
 from millrace.session import staging_path
 from millrace.sources import delimited, pages, probe, relations as rel
@@ -469,7 +469,7 @@ def src_zip_csv(spark, sf_dir):
 def _written(spark, sf_dir, **options):
     result = transform(spark, sf_dir)
     receipt = sinks.write_parquet(result, staging_path(spark, "books"), **options)
-    return receipt, sinks.read_parquet(result.schema, spark, receipt.path)
+    return receipt, sinks.read_back(spark, receipt)
 
 
 @query
@@ -529,8 +529,7 @@ def etl_end_to_end(spark, sf_dir):
         ],
         lake=root,
     )
-    run(spark, job, RUN_TS)
-    dataset = sinks.read_parquet(build(spark, job, RUN_TS).schema, spark, job.path)
+    dataset = sinks.read_back(spark, run(spark, job, RUN_TS))
     return dataset.groupBy("source", "price_category", "is_available", "rating_label").agg(
         F.count(F.lit(1)).alias("n_rows"), F.min("title").alias("first_title")
     )

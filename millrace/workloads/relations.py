@@ -143,10 +143,12 @@ def catalogue_url(page: Column) -> Column:
 
 def catalogue_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as stored catalogue pages of twenty products, eight linked pages to a shop."""
-    page = F.floor(F.col("p_partkey") / PRODUCTS_PER_PAGE).alias("page")
+    # a stated number of partitions is kept as it is: pages are small to shuffle and slow to parse
     grouped = (
         table(spark, sf_dir, "part")
-        .groupBy(page)
+        .withColumn("page", F.floor(F.col("p_partkey") / PRODUCTS_PER_PAGE))
+        .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "page")
+        .groupBy("page")
         .agg(F.array_sort(F.collect_list(F.struct("p_partkey", product_fragment().alias("html")))).alias("items"))
     )
     last = F.col("page") % PAGES_PER_SHOP == PAGES_PER_SHOP - 1
