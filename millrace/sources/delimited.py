@@ -57,11 +57,15 @@ def read_csv(
         .option("escape", '"')
         .option("multiLine", multiline)
         .option("mode", "PERMISSIVE")
+        .option("columnPruning", False)  # a pruned parser does not see how many fields a row has
         .option("columnNameOfCorruptRecord", _RAW)
         .option("recursiveFileLookup", "true")
         .csv(paths if isinstance(paths, str) else list(paths))
     )
-    kept = rows.where(F.col(_RAW).isNull() | (field_count(F.col(_RAW), sep) <= len(columns)))
+    fits = F.col(_RAW).isNull() | (field_count(F.col(_RAW), sep) <= len(columns))
+    # Spark refuses to read the raw text alone, which is all a count would leave of the row; this
+    # always holds, but takes a column along
+    kept = rows.where(fits & F.coalesce(F.length(quoted(columns[0])) >= 0, F.lit(True)))
     table = kept.select(*[na_to_null(quoted(c), na_values).alias(c) for c in columns])
     return table if source is None else tag_source(table, source)
 
