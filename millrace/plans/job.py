@@ -16,6 +16,8 @@ from millrace.sinks import Receipt, require_output, write_parquet
 
 log = logging.getLogger(__name__)
 
+_ABSENT = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
+
 
 @dataclass(frozen=True)
 class Source:
@@ -47,14 +49,15 @@ class Job:
 
 
 def open_sources(spark: SparkSession, job: Job) -> dict[str, DataFrame]:
-    """The sources that can be opened. One that is not there is passed over, unless it is required
-    or the job is set to fail; with none left the job fails."""
+    """The sources that can be opened. One whose files or table are not there is passed over, unless
+    it is required or the job is set to fail; any other error, and no source at all, stops the job."""
     opened: dict[str, DataFrame] = {}
     for source in job.sources:
         try:
             opened[source.name] = source.read(spark)
         except (AnalysisException, FileNotFoundError) as e:
-            if source.required or job.fail_on_source_error:
+            absent = isinstance(e, FileNotFoundError) or e.getCondition() in _ABSENT
+            if not absent or source.required or job.fail_on_source_error:
                 raise
             log.warning("source %s passed over: %s", source.name, e)
     if not opened:

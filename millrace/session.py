@@ -33,7 +33,8 @@ def local_session(cpus: int | str = 8, memory: str = "8g", **conf: str) -> Spark
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the cluster's shared folder.
 
-    The folder is the one in ``spark.checkpoint.dir``. Only a session on one machine may go without
+    The folder is the one in ``spark.checkpoint.dir``, in which each application has a folder of its
+    own that can go when it has ended. Only a session on one machine may go without
     that setting: executors elsewhere would not see a local temporary folder.
     """
     global _local_root
@@ -44,7 +45,8 @@ def staging_path(spark: SparkSession, name: str) -> str:
         if _local_root is None:
             _local_root = tempfile.mkdtemp(prefix="millrace-")
         root = _local_root
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    application = spark.sparkContext.applicationId
+    return f"{root.rstrip('/')}/millrace-{application}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

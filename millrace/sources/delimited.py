@@ -7,8 +7,12 @@ doubled quotes stand for one, words such as ``NA`` are missing.
 
 from __future__ import annotations
 
+import codecs
 import csv
 import io
+import itertools
+import re
+import sys
 import zipfile
 from collections.abc import Iterator, Sequence
 
@@ -18,15 +22,17 @@ from millrace.functions.text import na_to_null
 from millrace.operators.columns import quoted, tag_source
 from millrace.operators.rows import union_sources
 from millrace.schemas import NA_TEXT
-from millrace.sources.probe import DELIMITERS, profile_files
+from millrace.session import materialize
+from millrace.sources.probe import DELIMITERS, ENCODING_PROBE, profile_files
 
 _RAW = "_malformed"
 _QUOTED = '"(?:[^"]|"")*+"'
 
 
 def field_count(line: Column, sep: str) -> Column:
-    """Fields of a raw line; delimiters inside quotes do not count."""
-    bare = F.regexp_replace(line, _QUOTED, "")
+    """Fields of a raw line. Delimiters inside quotes do not count; a quote opens at the start of a
+    field only."""
+    bare = F.regexp_replace(line, f"(^|{re.escape(sep)}){_QUOTED}", "$1")
     return F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + 1
 
 
@@ -40,6 +46,7 @@ def read_csv(
     multiline: bool = False,
     na_values: Sequence[str] = NA_TEXT,
     source: str | None = "csv",
+    glob: str | None = None,
 ) -> DataFrame:
     """Delimited files with known columns, read as text and tagged with a source.
 
@@ -48,8 +55,9 @@ def read_csv(
     breaks inside quotes, at the price that a file is read by one task.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, _RAW]])
+    reader = spark.read if glob is None else spark.read.option("pathGlobFilter", glob)
     rows = (
-        spark.read.schema(schema)
+        reader.schema(schema)
         .option("header", header)
         .option("sep", sep)
         .option("encoding", encoding)
@@ -80,28 +88,34 @@ def read_csv_auto(
 ) -> DataFrame:
     """Delimited files of any mix of encodings, delimiters and headers, united by column name.
 
-    The files are profiled first and read once per combination found. With ``multiline=None`` a
-    scan looks for files with a quote left open at a line's end, and only those give up splitting;
-    pass True or False to save that scan. The driver holds the list of paths, as it does for any
-    read, and nothing at all of their content.
+    The files are profiled first and read once per layout found. With ``multiline=None`` a scan looks
+    for files with a quote left open at a line's end, and only those give up splitting; pass True or
+    False to save that scan. The driver sees the layouts and, only when there are several, the paths
+    of each, as it does for any read of listed files.
     """
-    files = profile_files(spark, path, glob).select("path", "uri", "encoding", "delimiter", "header")
+    files = profile_files(spark, path, glob).where(F.col("header") != "")
+    files = files.select("path", "uri", "header", "delimiter", "encoding")
     if multiline is None:
         files = files.join(_open_quotes(spark, path, glob), "uri", "left").withColumn(
             "multiline", F.coalesce("multiline", F.lit(False))
         )
     else:
         files = files.withColumn("multiline", F.lit(multiline))
-    groups: dict[tuple, list[str]] = {}
-    for row in files.where(F.col("header") != "").toLocalIterator():
-        key = (row["header"], row["delimiter"], row["encoding"], row["multiline"])
-        groups.setdefault(key, []).append(row["path"])
-    if not groups:
+    files = materialize(files, "profile")
+    layouts = files.select("header", "delimiter", "encoding", "multiline").distinct().collect()
+    if not layouts:
         raise FileNotFoundError(f"no delimited file with a header below {path}")
     tables = []
-    for (header, sep, encoding, lines), paths in sorted(groups.items()):
+    for layout in sorted(layouts):
+        header, sep, encoding, lines = layout
         columns = _unique_names(next(csv.reader([header], delimiter=sep)))
-        tables.append(read_csv(spark, sorted(paths), columns, sep, encoding, True, lines, na_values, source))
+        paths = path
+        if len(layouts) > 1:
+            alike = files
+            for name, value in layout.asDict().items():
+                alike = alike.where(F.col(name) == F.lit(value))
+            paths = sorted(row["path"] for row in alike.select("path").collect())
+        tables.append(read_csv(spark, paths, columns, sep, encoding, True, lines, na_values, source, glob))
     return union_sources(tables)
 
 
@@ -192,7 +206,7 @@ def _archive_rows(batches) -> Iterator:
                     continue
                 member = next((m for m in names if m.lower().endswith(".csv")), names[0])
                 with archive.open(member) as probe:
-                    encoding = _encoding_of(probe.read(8192))
+                    encoding = _encoding_of(probe.read(ENCODING_PROBE))
                 with archive.open(member) as stream:
                     text = io.TextIOWrapper(stream, encoding, errors="replace", newline="")
                     for header, rows in _row_batches(text):
@@ -210,14 +224,16 @@ def _row_batches(text) -> Iterator[tuple[list[str], list[list[str | None]]]]:
     first = next((line for line in text if line.strip("\r\n")), None)
     if first is None:
         return
-    sep = max(DELIMITERS, key=lambda d: (first.count(d), -DELIMITERS.index(d)))
-    lines = _chain(first, text)
-    reader = csv.reader(lines, delimiter=sep)
+    bare = re.sub(_QUOTED, "", first)
+    sep = max(DELIMITERS, key=lambda d: (bare.count(d), -DELIMITERS.index(d)))
+    csv.field_size_limit(sys.maxsize)
+    reader = csv.reader(itertools.chain([first], text), delimiter=sep)
     header = next(reader)
     header = _unique_names([header[0].removeprefix("\ufeff"), *header[1:]])
     rows: list[list[str | None]] = []
     for fields in reader:
-        if not fields or len(fields) > len(header):
+        blank = not fields or (len(fields) == 1 and not fields[0].strip())
+        if blank or len(fields) > len(header):
             continue
         rows.append(fields + [None] * (len(header) - len(fields)))
         if len(rows) == _BATCH:
@@ -227,14 +243,7 @@ def _row_batches(text) -> Iterator[tuple[list[str], list[list[str | None]]]]:
         yield header, rows
 
 
-def _chain(first: str, rest) -> Iterator[str]:
-    yield first
-    yield from rest
-
-
 def _encoding_of(head: bytes) -> str:
-    import codecs
-
     try:
         codecs.getincrementaldecoder("utf-8")().decode(head)
     except UnicodeDecodeError:

@@ -12,7 +12,7 @@ from millrace.functions import buckets, text
 from millrace.operators import catalogue, columns, quality, rows
 from millrace.plans.job import Job, Source, run
 from millrace.schemas import CANONICAL, SOURCES
-from millrace.session import staging_path
+from millrace.session import materialize, staging_path
 from millrace.sources import delimited, pages, probe, relations as rel
 from millrace.workloads import relations as R
 
@@ -373,7 +373,7 @@ def page_walk(spark, sf_dir):
 @query
 def catalogue_walk(spark, sf_dir):
     """Each shop read from its first page, at most five pages deep, as product records."""
-    stored = R.catalogue_pages(spark, sf_dir)
+    stored = materialize(R.catalogue_pages(spark, sf_dir), "pages")
     linked = pages.with_next_url(stored, R.CATALOGUE_URL)
     starts = stored.where(F.col("page") % R.PAGES_PER_SHOP == 0)
     walked = pages.walk_pages(linked, starts, max_pages=5)

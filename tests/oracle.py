@@ -11,6 +11,15 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 
+_SPARK_TYPES = {
+    "BIGINT": "bigint",
+    "BOOLEAN": "boolean",
+    "DOUBLE": "double",
+    "INTEGER": "int",
+    "TIMESTAMP": "timestamp",
+    "VARCHAR": "string",
+}
+
 
 def connect(sf_dir: str):
     import duckdb
@@ -23,7 +32,7 @@ def connect(sf_dir: str):
 
 def _value(v):
     if isinstance(v, float):
-        return "NaN" if math.isnan(v) else round(v, 9)
+        return "NaN" if math.isnan(v) else v
     if isinstance(v, datetime.datetime):
         return v.replace(tzinfo=None).isoformat()
     return v
@@ -41,6 +50,9 @@ def difference(df, db, sql: str) -> str | None:
     if sorted(expected_names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} != {sorted(expected_names)}"
     want = _bag(expected_names, expected.fetchall())
+    types = {d[0]: _SPARK_TYPES.get(str(d[1]), str(d[1])) for d in expected.description}
+    if types != {name: t.replace("timestamp_ntz", "timestamp") for name, t in df.dtypes}:
+        return f"types {df.dtypes} != {types}"
     got = _bag(df.columns, [tuple(r) for r in df.collect()])
     if got == want:
         return None

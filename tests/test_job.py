@@ -1,6 +1,7 @@
 from datetime import datetime
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from millrace import session, sinks
@@ -43,6 +44,14 @@ def test_overwrite_static_and_dynamic(spark, books, tmp_path):
     assert sinks.read_back(spark, only).count() == 1
 
 
+def test_writing_nothing(spark, books, tmp_path):
+    receipt = sinks.write_parquet(books.where("false"), str(tmp_path / "out"))
+    assert receipt.rows == 0
+    assert sinks.read_back(spark, receipt).count() == 0
+    none = spark.createDataFrame([], SCHEMA)
+    assert sinks.write_parquet(none, str(tmp_path / "out"), rebalance=True).rows == 0
+
+
 def test_write_errors_reach_the_caller(books, tmp_path):
     (tmp_path / "file").write_text("x")
     with pytest.raises(Exception):
@@ -75,10 +84,13 @@ def test_missing_sources_are_tolerated(spark, books, tmp_path):
     there = Source("web", lambda s: books)
     gone = Source("gone", lambda s: s.read.parquet(str(tmp_path / "none")))
     assert list(open_sources(spark, Job([there, gone], "x"))) == ["web"]
-    with pytest.raises(Exception):
+    with pytest.raises(AnalysisException):
         open_sources(spark, Job([there, gone], "x", fail_on_source_error=True))
-    with pytest.raises(Exception):
+    with pytest.raises(AnalysisException):
         open_sources(spark, Job([there, Source("gone", gone.read, required=True)], "x"))
+    broken = Source("broken", lambda s: books.select("no_such_column"))
+    with pytest.raises(AnalysisException):
+        open_sources(spark, Job([there, broken], "x"))
     with pytest.raises(ValueError, match="no source"):
         open_sources(spark, Job([gone], "x"))
 

@@ -109,6 +109,14 @@ def test_bad_rows(spark, tmp_path):
     assert sorted(r.b or "" for r in got.select("b").collect()) == ["", "", "2", "9"]
 
 
+def test_bad_rows_with_line_breaks(spark, tmp_path):
+    (tmp_path / "bad.csv").write_text('a;b\n"1\n2";x\n3;4;5\n6\n7" disk;8" y\n9" d;8" y;z\n')
+    got = delimited.read_csv_auto(spark, str(tmp_path))
+    assert {(r.a, r.b) for r in got.collect()} == {("1\n2", "x"), ("6", None), ('7" disk', '8" y')}
+    assert got.count() == 3
+    assert got.select("b").where("b is null").count() == 1
+
+
 def test_read_csv_auto_mixes_files(spark, tmp_path):
     (tmp_path / "deep").mkdir()
     (tmp_path / "one.csv").write_bytes("title,price\nCafé,12.5\n".encode())
@@ -165,6 +173,13 @@ def test_zip_csv(spark, tmp_path):
     }
 
 
+def test_zip_member_with_long_fields_and_quoted_header(spark):
+    body = '"a,b;c",t\n' + "x" * 200_000 + ",1\n \n"
+    df = spark.createDataFrame([("p", bytearray(archive(x__csv=body)))], "path string, content binary")
+    got = delimited.archive_columns(delimited.read_archives(df), ["a,b;c", "t"])
+    assert [(len(r[0]), r.t) for r in got.collect()] == [(200_000, "1")]
+
+
 def test_zip_batches(spark):
     body = "n\n" + "\n".join(str(i) for i in range(25_000))
     df = spark.createDataFrame([("p", bytearray(archive(x__csv=body)))], "path string, content binary")
