@@ -40,12 +40,14 @@ def na_to_null(c: Column, words=NA_TEXT) -> Column:
 def coerce_numeric(c: Column, missing: str = "null") -> Column:
     """Text to double; whatever is no number is missing.
 
-    Spark's own cast also takes Java literals such as ``1.5d``, so the text is matched first.
+    Spark's own cast also takes Java literals such as ``1.5d``, so the text is matched first. A number
+    too large for a double is missing too; only text that says infinity is infinite.
     ``missing="null"`` gives NULL, ``missing="keep"`` gives NaN, which sorts above every number.
     """
     text = c.cast("string")
     number = F.when(text.rlike(NUMBER), text.try_cast("double"))
-    return missing_number(number, missing)
+    overflown = (F.abs(number) == float("inf")) & ~F.lower(text).contains("inf")
+    return missing_number(F.when(~overflown, number), missing)
 
 
 def missing_number(c: Column, missing: str = "null") -> Column:

@@ -1,8 +1,8 @@
 """Delimited text: plain files and files inside ZIP archives.
 
 The rules for rows follow what pandas' Python parser does with ``on_bad_lines="skip"``: a row with
-too many fields is dropped, a short row is filled up with NULL, undecodable bytes become U+FFFD,
-doubled quotes stand for one, words such as ``NA`` are missing.
+too many fields is dropped, a short row is filled up with NULL, a row of one blank field is no row,
+undecodable bytes become U+FFFD, doubled quotes stand for one, words such as ``NA`` are missing.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from millrace.functions.text import na_to_null
+from millrace.functions.text import is_blank, na_to_null, strip_ws
 from millrace.operators.columns import quoted, tag_source
 from millrace.operators.rows import union_sources
 from millrace.schemas import NA_TEXT
@@ -70,10 +70,14 @@ def read_csv(
         .option("recursiveFileLookup", "true")
         .csv(paths if isinstance(paths, str) else list(paths))
     )
-    fits = F.col(_RAW).isNull() | (field_count(F.col(_RAW), sep) <= len(columns))
-    # Spark refuses to read the raw text alone, which is all a count would leave of the row; this
-    # always holds, but takes a column along
-    kept = rows.where(fits & F.coalesce(F.length(quoted(columns[0])) >= 0, F.lit(True)))
+    raw, first = F.col(_RAW), quoted(columns[0])
+    # a row of one blank field is a blank line; it is malformed unless one column is all there is
+    one_blank = raw.rlike(r'^\s*"\s*"\s*$') if len(columns) > 1 else is_blank(strip_ws(first))
+    fits = raw.isNull() | (field_count(raw, sep) <= len(columns))
+    # Spark refuses to read the raw text alone, which is all a count would leave of the row; the last
+    # condition always holds, but takes a column along
+    takes_along = F.coalesce(F.length(first) >= 0, F.lit(True))
+    kept = rows.where(fits & ~F.coalesce(one_blank, F.lit(False)) & takes_along)
     table = kept.select(*[na_to_null(quoted(c), na_values).alias(c) for c in columns])
     return table if source is None else tag_source(table, source)
 

@@ -27,11 +27,22 @@ def test_blank_is_null_or_empty_only(values):
 
 
 def test_coerce_numeric(values):
-    items = ["12.5", " 1.5 ", "1e3", "1.5d", "2f", "abc", "", None, "inf", "-Infinity", "1_0", "5.", ".5", ".", "+7", "NaN"]
-    want = [12.5, 1.5, 1000.0, None, None, None, None, None, math.inf, -math.inf, None, 5.0, 0.5, None, 7.0, None]
+    items = ["12.5", " 1.5 ", "1e3", "1.5d", "2f", "abc", "", None, "inf", "-Infinity", "1_0", "5.", ".5", ".", "+7", "NaN", "1e400", "-9e999", "1e-400"]
+    want = [12.5, 1.5, 1000.0, None, None, None, None, None, math.inf, -math.inf, None, 5.0, 0.5, None, 7.0, None, None, None, 0.0]
     same(values(text.coerce_numeric, items), want)
 
 
+def test_coerce_numeric_agrees_with_pandas(values):
+    import random
+
+    import pandas as pd
+
+    pick = random.Random(3)
+    items = ["".join(pick.choice("0123456789..eE+- infdaty") for _ in range(pick.randint(0, 6))) for _ in range(3000)]
+    want = pd.to_numeric(pd.Series(items, dtype=object), errors="coerce").astype(float)
+    assert values(text.coerce_numeric, items) == [None if math.isnan(v) else v for v in want]
+
+
 def test_coerce_numeric_can_keep_nan(values):
     same(values(lambda c: text.coerce_numeric(c, "keep"), ["1", "x", None]), [1.0, math.nan, math.nan])
     same(values(text.missing_number, [1.0, math.nan, None], "double"), [1.0, None, None])

@@ -117,6 +117,34 @@ def test_bad_rows_with_line_breaks(spark, tmp_path):
     assert got.select("b").where("b is null").count() == 1
 
 
+def test_csv_agrees_with_pandas(spark, tmp_path):
+    import random
+
+    import pandas as pd
+
+    pick = random.Random(7)
+    cells = ["1", "a", "", "NA", '"q"', '"a,b"', '"x""y"', " s ", '"l\nm"', '7" d', "-", "nan", "null", "é", '""']
+    for case in range(12):
+        sep = pick.choice(",;\t|")
+        lines = [sep.join(("h1", "h2", "h3")), sep.join(("1", "2", "3"))]
+        for _ in range(30):
+            width = pick.choice((1, 2, 3, 3, 3, 4, 5))
+            lines.append(sep.join(pick.choice(cells).replace(",", sep) for _ in range(width)))
+        text = "\n".join(lines) + "\n"
+        folder = tmp_path / str(case)
+        folder.mkdir()
+        (folder / "f.csv").write_bytes(text.encode())
+        want = pd.read_csv(io.StringIO(text), sep=sep, engine="python", on_bad_lines="skip", dtype=str)
+        want = sorted(tuple("~" if pd.isna(v) else v for v in r) for r in want.itertuples(index=False))
+        got = delimited.read_csv_auto(spark, str(folder)).drop("source").na.fill("~").collect()
+        assert sorted(tuple(r) for r in got) == want
+
+
+def test_one_column_file(spark, tmp_path):
+    (tmp_path / "one.csv").write_text('a\n1\n""\n\n2,3\n" "\nNA\n')
+    assert sorted(str(r.a) for r in delimited.read_csv_auto(spark, str(tmp_path)).collect()) == ["1", "None"]
+
+
 def test_read_csv_auto_mixes_files(spark, tmp_path):
     (tmp_path / "deep").mkdir()
     (tmp_path / "one.csv").write_bytes("title,price\nCafé,12.5\n".encode())
