@@ -61,28 +61,35 @@ def start_tag_with_class(name: str, css_class: str) -> str:
     )
 
 
+def _content(name: str) -> str:
+    """Pattern of everything up to the next end tag ``name``, taken in runs, not letter by letter."""
+    return rf"(?:[^<]++|<(?!/{name}[\s>]))*+"
+
+
 def without_inert(html: Column) -> Column:
     """Drop comments, scripts and styles, whose text may look like markup."""
-    return F.regexp_replace(html, rf"{_FLAGS}<!--.*?-->|<(script|style)\b.*?</\1\s*+>", "")
+    comment = "!--(?:[^-]++|-(?!->))*+-->"
+    inert = rf"(script|style)(?=[\s>/]){_content('\\1')}</\1\s*+>"
+    return F.regexp_replace(html, f"{_FLAGS}<(?:{comment}|{inert})", "")
 
 
 def elements(html: Column, name: str, css_class: str) -> Column:
     """Every element ``name`` of a class, as an array of HTML text without the end tag."""
-    pattern = rf"{_FLAGS}{start_tag_with_class(name, css_class)}.*?(?=</{name}[\s>]|\z)"
+    pattern = _FLAGS + start_tag_with_class(name, css_class) + _content(name)
     return F.regexp_extract_all(html, F.lit(pattern), F.lit(0))
 
 
 def first_element(html: Column, name: str, css_class: str | None = None) -> Column:
     """The first element ``name`` as HTML text without its end tag; NULL when there is none."""
     opening = start_tag(name) if css_class is None else start_tag_with_class(name, css_class)
-    return _match(html, rf"{opening}.*?(?=</{name}[\s>]|\z)")
+    return _match(html, opening + _content(name))
 
 
 def first_of_class(html: Column, css_class: str) -> Column:
     """The first element of any name with a class; NULL when there is none."""
     any_name = "[a-z][a-z0-9]*+"
     opening = start_tag_with_class(any_name, css_class).replace(f"(?:{any_name})", f"({any_name})", 1)
-    return _match(html, rf"{opening}.*?(?=</\1[\s>]|\z)")
+    return _match(html, opening + _content(r"\1"))
 
 
 def first_start_tag(html: Column, name: str, css_class: str | None = None) -> Column:
