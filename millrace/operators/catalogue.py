@@ -8,8 +8,8 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.buckets import price_category, rating_label
-from millrace.functions.text import coerce_numeric, in_stock, is_blank
-from millrace.operators.columns import quoted, require_columns
+from millrace.functions.text import in_stock, is_blank
+from millrace.operators.columns import as_number, is_text, require_columns
 from millrace.operators.rows import dedup, union_sources
 from millrace.schemas import DEFAULT_AVAILABILITY, DEFAULT_PRICE, PIPELINE_VERSION
 
@@ -31,16 +31,14 @@ def clean(
     require_columns(df, ("title", "source", "availability", "price"), "clean")
     titled = df.where(~is_blank(F.col("title"))) if blank_is_missing else df.dropna(subset=["title"])
     normalized = {"title": F.trim("title"), "source": F.lower(F.trim("source"))} if normalize_keys else None
-    price = _number(df, "price")
-    if missing == "null":
-        price = F.nanvl(price, F.lit(None).cast("double"))
+    absent = F.col("price").isNull()
+    if missing == "null" and not is_text(df, "price"):
+        absent = absent | F.isnan(F.col("price").cast("double"))
     return dedup(titled, KEYS, normalized).withColumns(
         {
             "availability": F.coalesce(F.trim("availability"), F.lit(DEFAULT_AVAILABILITY)),
-            # a price that is there but no number stays NULL: only an absent one gets the default
-            "price": F.when(F.col("price").isNull(), F.lit(DEFAULT_PRICE)).otherwise(price)
-            if dict(df.dtypes)["price"] == "string"
-            else F.coalesce(price, F.lit(DEFAULT_PRICE)),
+            # a text price that is there but no number is not absent: it becomes NULL, not the default
+            "price": F.when(absent, F.lit(DEFAULT_PRICE)).otherwise(as_number(df, "price")),
         }
     )
 
@@ -57,7 +55,7 @@ def normalize(df: DataFrame, run_ts: datetime | None = None) -> DataFrame:
         stamp = F.lit(run_ts if run_ts.tzinfo else run_ts.replace(tzinfo=timezone.utc))
     return df.withColumns(
         {
-            "price": _number(df, "price"),
+            "price": as_number(df, "price"),
             "source": F.lower(F.trim(F.col("source").cast("string"))),
             "title": F.trim("title"),
             "availability": F.trim("availability"),
@@ -69,14 +67,14 @@ def normalize(df: DataFrame, run_ts: datetime | None = None) -> DataFrame:
 
 def enrich(df: DataFrame) -> DataFrame:
     """Price category, stock flag and rating label, each where its input column exists."""
-    derived = {
-        "price": ("price_category", price_category),
-        "availability": ("is_available", in_stock),
-        "rating": ("rating_label", rating_label),
-    }
-    return df.withColumns(
-        {name: f(quoted(column)) for column, (name, f) in derived.items() if column in df.columns}
-    )
+    derived = {}
+    if "price" in df.columns:
+        derived["price_category"] = price_category(as_number(df, "price"))
+    if "availability" in df.columns:
+        derived["is_available"] = in_stock(F.col("availability"))
+    if "rating" in df.columns:
+        derived["rating_label"] = rating_label(as_number(df, "rating"))
+    return df.withColumns(derived) if derived else df
 
 
 def transform(
@@ -93,9 +91,3 @@ def transform(
         .transform(normalize, run_ts)
         .transform(enrich)
     )
-
-
-def _number(df: DataFrame, column: str):
-    if dict(df.dtypes)[column] == "string":
-        return coerce_numeric(F.col(column))
-    return F.col(column).cast("double")

@@ -84,6 +84,15 @@ def _conformed(df: DataFrame, field: T.StructField, text_defaults: Mapping[str,
     return value
 
 
+def is_text(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.StringType)
+
+
+def as_number(df: DataFrame, column: str) -> Column:
+    """A column as double. Text that is no number is NULL; a NaN that is there stays."""
+    return coerce_numeric(quoted(column)) if is_text(df, column) else quoted(column).cast("double")
+
+
 def require_columns(df: DataFrame, names: Sequence[str], operator: str) -> None:
     absent = [name for name in names if name not in df.columns]
     if absent:

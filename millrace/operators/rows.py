@@ -13,10 +13,23 @@ from millrace.operators.columns import quoted
 
 def union_sources(dfs: Sequence[DataFrame]) -> DataFrame:
     """Union by name. A column missing in a table is NULL there; columns come in the order of
-    their first appearance; duplicates stay."""
+    their first appearance; duplicates stay. A column that is text in one table becomes text in
+    all: under ANSI rules Spark would turn that text into numbers and fail on the first that is none.
+    """
     if not dfs:
         raise ValueError("the list of tables is empty (la liste est vide)")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
+    texts = {f.name for df in dfs for f in df.schema if isinstance(f.dataType, T.StringType)}
+    alike = [
+        df.withColumns(
+            {
+                f.name: quoted(f.name).cast("string")
+                for f in df.schema
+                if f.name in texts and isinstance(f.dataType, T.AtomicType) and not isinstance(f.dataType, T.StringType)
+            }
+        )
+        for df in dfs
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), alike)
 
 
 def drop_null(df: DataFrame, column: str = "title") -> DataFrame:

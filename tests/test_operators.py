@@ -43,6 +43,38 @@ def test_union_widens_int_to_double(spark):
     assert rows.union_sources([a, b]).dtypes == [("x", "double")]
 
 
+def test_union_of_text_and_numbers(spark, three):
+    text = spark.createDataFrame(
+        [("D", "bad", "x", "9", "csv"), ("E", "20", None, "no", "csv"), ("F", None, "x", "3.5", "csv")],
+        "title string, price string, availability string, rating string, source string",
+    )
+    assert dict(rows.union_sources([three[0], text]).dtypes)["price"] == "string"
+    got = {r.title: (r.price, r.price_category, r.rating_label) for r in catalogue.transform([three[0], text]).collect()}
+    assert got == {
+        "A": (5.0, "low", "excellent"), "D": (None, "premium", "excellent"), "E": (20.0, "medium", "poor"),
+        "F": (0.0, "low", "good"),
+    }
+
+
+def test_dedup_agrees_with_brute_force(spark):
+    import random
+
+    pick = random.Random(5)
+    data = [
+        (pick.choice(["a", " a", "A", None, ""]), pick.choice([1.0, 2.0, None]), pick.choice(["x", "y", None]), None,
+         pick.choice(["web", "csv", None]))
+        for _ in range(3000)
+    ]
+    want = {}
+    for row in data:
+        order = tuple((v is not None, v or 0) if not isinstance(v, str) else (True, v) for v in row[1:4])
+        key = (row[0], row[4])
+        if key not in want or order < want[key][0]:
+            want[key] = (order, row)
+    df = spark.createDataFrame(data, SCHEMA).repartition(7)
+    assert sorted(map(str, (tuple(r) for r in rows.dedup(df).collect()))) == sorted(str(r) for _, r in want.values())
+
+
 def test_dedup_keeps_the_smallest_row(spark):
     df = spark.createDataFrame(
         [

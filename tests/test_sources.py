@@ -223,6 +223,13 @@ def test_read_sql(spark):
     assert relations.read_sql(spark, "SELECT count(*) AS total FROM customers").collect() == [(2, "sql")]
 
 
+def test_inline_values(spark):
+    query = """SELECT first_name AS title, country AS availability, age::double AS price, 0 AS rating, 'sql' AS source
+               FROM VALUES ('Ada', 'UK', 28), ('Bo', 'SE', 32) AS customers(first_name, country, age)"""
+    got = relations.read_sql(spark, query)
+    assert sorted(tuple(r) for r in got.collect()) == [("Ada", "UK", 28.0, 0, "sql"), ("Bo", "SE", 32.0, 0, "sql")]
+
+
 def test_jdbc_options():
     options = relations.jdbc_options("postgresql+psycopg2://u:p%40ss@h:5432/db", query="SELECT 1")
     assert options == {
