@@ -15,6 +15,7 @@ import re
 import sys
 import zipfile
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -90,15 +91,15 @@ def read_csv_auto(
     na_values: Sequence[str] = NA_TEXT,
     source: str | None = "csv",
 ) -> DataFrame:
-    """Delimited files of any mix of encodings, delimiters and headers, united by column name.
+    """Delimited files of any mix of encodings, delimiters and headers, in ZIP archives or not,
+    united by column name.
 
     The files are profiled first and read once per layout found. With ``multiline=None`` a scan looks
     for files with a quote left open at a line's end, and only those give up splitting; pass True or
     False to save that scan. The driver sees the layouts and, only when there are several, the paths
     of each, as it does for any read of listed files.
     """
-    files = profile_files(spark, path, glob).where(F.col("header") != "")
-    files = files.select("path", "uri", "header", "delimiter", "encoding")
+    files = profile_files(spark, path, glob).select("path", "uri", "format", "header", "delimiter", "encoding")
     if multiline is None:
         files = files.join(_open_quotes(spark, path, glob), "uri", "left").withColumn(
             "multiline", F.coalesce("multiline", F.lit(False))
@@ -106,23 +107,40 @@ def read_csv_auto(
     else:
         files = files.withColumn("multiline", F.lit(multiline))
     files = materialize(files, "profile")
-    layouts = files.select("header", "delimiter", "encoding", "multiline").distinct().collect()
-    if not layouts:
-        raise FileNotFoundError(f"no delimited file with a header below {path}")
+    archives = files.where(F.col("format") == "zip")
+    plain = files.where((F.col("format") != "zip") & (F.col("header") != ""))
+    layouts = sorted(plain.select("header", "delimiter", "encoding", "multiline").distinct().collect())
     tables = []
-    for layout in sorted(layouts):
+    archive_paths = _paths(archives)
+    if archive_paths:
+        tables.append(_read_archives_auto(spark, archive_paths, na_values, source))
+    for layout in layouts:
         header, sep, encoding, lines = layout
         columns = _unique_names(next(csv.reader([header], delimiter=sep)))
-        paths = path
-        if len(layouts) > 1:
-            alike = files
-            for name, value in layout.asDict().items():
-                alike = alike.where(F.col(name) == F.lit(value))
-            paths = sorted(row["path"] for row in alike.select("path").collect())
+        if len(layouts) == 1 and not archive_paths:
+            paths = path
+        else:
+            alike = [F.col(name) == F.lit(value) for name, value in layout.asDict().items()]
+            paths = _paths(plain.where(reduce(Column.__and__, alike)))
         tables.append(read_csv(spark, paths, columns, sep, encoding, True, lines, na_values, source, glob))
+    if not tables:
+        raise FileNotFoundError(f"no delimited file with a header below {path}")
     return union_sources(tables)
 
 
+def _paths(files: DataFrame) -> list[str]:
+    return sorted(row["path"] for row in files.select("path").collect())
+
+
+def _read_archives_auto(spark: SparkSession, paths: list[str], na_values, source) -> DataFrame:
+    """All columns of some archives. Their rows are written out once: an archive is unpacked by one
+    task, what comes out of it is worked on by many."""
+    content = spark.read.format("binaryFile").load(paths).select("path", "content")
+    rows = materialize(read_archives(content), "archives")
+    names = [name for (header,) in sorted(rows.select("header").distinct().collect()) for name in header]
+    return archive_columns(rows, list(dict.fromkeys(names)), na_values, source)
+
+
 def _open_quotes(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
     """``(uri, multiline)``: does any line of a file hold an odd number of quotes?"""
     reader = spark.read.option("recursiveFileLookup", "true")

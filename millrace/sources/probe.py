@@ -16,7 +16,7 @@ FORMAT_PROBE = 32
 ENCODING_PROBE = 8192
 HEAD_BYTES = 64 * 1024
 #: files above this size are not loaded whole to look at their head
-WHOLE_FILE_LIMIT = 32 * 1024 * 1024
+WHOLE_FILE_LIMIT = 1024 * 1024
 
 _QUOTED = '"(?:[^"]|"")*+"'
 
@@ -89,34 +89,48 @@ def file_heads(spark: SparkSession, path: str, n: int = HEAD_BYTES, glob: str |
     """``(path, uri, length, content)`` with the head of every file: its first line, and at least
     ``n`` bytes where it has them. ``uri`` is the path as ``_metadata.file_path`` writes it.
 
-    Small files come through Spark's own reader. Of a large one only ``n`` bytes are fetched, by a
-    ranged read inside the task, so neither its size nor the number of such files matters.
+    Small files come through Spark's own reader. Of others only the head is fetched, by a ranged read
+    inside the task, so neither the size of a file nor of the dataset matters. Where the storage has
+    no such reader, Spark's own reads these files whole.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(path)
+    files = reader.load(path).withColumn("uri", F.col("_metadata.file_path"))
+    is_large = F.col("length") > WHOLE_FILE_LIMIT
+    large = files.where(is_large).select("path", "uri", "length")
+    some_large = large.select("uri").head()
+    ranged = some_large is not None and _has_ranged_reads(some_large["uri"])
     first_line = F.octet_length(F.substring_index(F.col("content").cast("string"), "\n", 1))
-    uri = F.col("_metadata.file_path").alias("uri")
-    small = files.where(F.col("length") <= WHOLE_FILE_LIMIT).select(
+    whole = (files.where(~is_large) if ranged else files).select(
         "path",
-        uri,
+        "uri",
         "length",
         F.substring(F.col("content"), F.lit(1), F.greatest(F.lit(n), first_line)).alias("content"),
     )
-    large = files.where(F.col("length") > WHOLE_FILE_LIMIT).select("path", uri, "length")
-    heads = large.mapInPandas(_range_reader(n), "path string, uri string, length long, content binary")
-    return small.unionByName(heads)
+    return whole.unionByName(large.mapInPandas(_range_reader(n), whole.schema)) if ranged else whole
+
+
+def _has_ranged_reads(uri: str) -> bool:
+    try:
+        _filesystem(uri)
+    except (ImportError, OSError, ValueError, NotImplementedError):
+        return False
+    return True
+
+
+def _filesystem(uri: str):
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
 
 
 def _range_reader(n: int):
     def read(batches):
-        from pyarrow import fs
-
         for batch in batches:
             heads = []
             for uri in batch["uri"]:
-                filesystem, name = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+                filesystem, name = _filesystem(uri)
                 with filesystem.open_input_stream(name, compression=None) as stream:
                     head = chunk = stream.read(n)
                     while chunk and b"\n" not in chunk:

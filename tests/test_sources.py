@@ -168,6 +168,9 @@ def test_large_files_are_probed_by_range(spark, tmp_path, monkeypatch):
     row = probe.file_heads(spark, str(tmp_path), n=32).head()
     assert row.length > 1000 and 70 < len(row.content) < 200 and b";t\n" in row.content
     assert delimited.read_csv_auto(spark, str(tmp_path)).count() == 5000
+    monkeypatch.setattr(probe, "_has_ranged_reads", lambda uri: False)
+    assert probe.file_heads(spark, str(tmp_path), n=32).head().content.endswith(b";t")
+    assert delimited.read_csv_auto(spark, str(tmp_path)).count() == 5000
 
 
 def test_no_files(spark, tmp_path):
@@ -201,6 +204,17 @@ def test_zip_csv(spark, tmp_path):
     }
 
 
+def test_read_csv_auto_opens_archives(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("title,price\nA,1\n")
+    (tmp_path / "b.bin").write_bytes(archive(b__csv="title;isbn\nB;2\n"))
+    (tmp_path / "c.zip").write_bytes(archive(c__csv="isbn,price\n3,4\n"))
+    got = delimited.read_csv_auto(spark, str(tmp_path))
+    assert set(got.columns) == {"title", "price", "isbn", "source"}
+    assert {(r.title, r.price, r.isbn) for r in got.collect()} == {("A", "1", None), ("B", None, "2"), (None, "4", "3")}
+    only = delimited.read_csv_auto(spark, str(tmp_path), "*.zip")
+    assert [tuple(r) for r in only.collect()] == [("3", "4", "csv")]
+
+
 def test_zip_member_with_long_fields_and_quoted_header(spark):
     body = '"a,b;c",t\n' + "x" * 200_000 + ",1\n \n"
     df = spark.createDataFrame([("p", bytearray(archive(x__csv=body)))], "path string, content binary")
