@@ -76,6 +76,40 @@ def test_walk_pages(spark):
         pages.walk_pages(links, starts, 0)
 
 
+def test_walks_that_share_a_link_are_split(spark):
+    n = 60_000
+    following = {i: 7 if i % 3 == 0 else None if i % 11 == 0 else i + 1 for i in range(n)}
+    want = 0
+    for at in range(n):
+        for _ in range(4):
+            if at is None or at >= n:
+                break
+            want, at = want + 1, following[at]
+    next_id = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 11 != 0, F.col("id") + 1)
+    page = F.lit("http://site/page/")
+    links = spark.range(0, n, 1, 4).select(
+        F.concat(page, F.col("id").cast("string")).alias("url"), F.concat(page, next_id.cast("string")).alias("next_url")
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        steps = pages.walk_pages(links, links, 4).groupBy().count()
+        assert steps.collect()[0][0] == want
+        plan = steps._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan and "ReusedExchange" in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_file_format(values):
     items = [b"PK\x03\x04", b"\xef\xbb\xbfa,b", b"sep=;", b"\xff\xfea", b"\xfe\xffa", b" <!DOCTYPE html>", b"x<HTML>", b"\x1f\x8b\x08", b"a,b", b""]
     assert values(probe.file_format, items, "binary") == [
