@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions import markup as M
 from millrace.functions.text import parse_money, rating_from_word, strip_ws
@@ -26,15 +26,19 @@ def product_records(pages: DataFrame, html: str = "html", keep: Sequence[str] =
 
 def rejected_products(pages: DataFrame, html: str = "html", keep: Sequence[str] = ()) -> DataFrame:
     """The products ``product_records`` skips, with the first part that is missing or unreadable."""
-    return _parsed(pages, html, keep).where(F.col("reason").isNotNull()).select(*[quoted(c) for c in keep], "block", "reason")
+    parsed = _parsed(pages, html, keep, "block")
+    return parsed.where(F.col("reason").isNotNull()).select(*[quoted(c) for c in keep], "block", "reason")
 
 
-def _parsed(pages: DataFrame, html: str, keep: Sequence[str]) -> DataFrame:
-    """All products with the first part that is missing, as ``reason``.
+def _parsed(pages: DataFrame, html: str, keep: Sequence[str], *extra: str) -> DataFrame:
+    """All products with the first part that is missing, as ``reason``; their HTML on request.
 
     Parsing goes in steps of one projection each: a match that later expressions use more than once
     is then computed once.
     """
+    taken = {"block", "stars", "reason", "source", *_RECORD}.intersection(keep)
+    if taken:
+        raise ValueError(f"page columns {sorted(taken)} have names of product columns; rename them first")
     kept = [quoted(c) for c in keep]
     page = M.without_inert(quoted(html))
     products = pages.where(quoted(html).contains("product_pod")).select(
@@ -59,7 +63,7 @@ def _parsed(pages: DataFrame, html: str, keep: Sequence[str]) -> DataFrame:
     )
     parts = {"title": "title", "price": "price", "availability": "availability", "stars": "rating"}
     reason = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(part)) for c, part in parts.items()])
-    fields = ["block", *_RECORD[:3], rating_from_word(F.col("stars")).alias("rating"), reason.alias("reason")]
+    fields = [*extra, *_RECORD[:3], rating_from_word(F.col("stars")).alias("rating"), reason.alias("reason")]
     # a filter on generated columns stays above the generator; on projected ones it would move down
     # to the blocks and take a copy of all the parsing along
     return read.select(*kept, F.inline(F.array(F.struct(*fields))))

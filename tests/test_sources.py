@@ -50,6 +50,11 @@ def test_rejected_products_say_why(stored):
     assert sorted(r.reason for r in got) == ["availability", "price", "price", "rating", "title"]
 
 
+def test_kept_columns_must_not_clash(stored):
+    with pytest.raises(ValueError, match="title"):
+        pages.product_records(stored.withColumnRenamed("url", "title"), keep=["title"])
+
+
 def test_parsing_is_not_repeated_by_filters(stored):
     plan = pages.product_records(stored).where("title is not null")._jdf.queryExecution().executedPlan().toString()
     assert sum("price_color" in line for line in plan.splitlines()) == 1
