@@ -265,7 +265,7 @@ ORACLES: dict[str, str] = {
         FROM products WHERE reason IS NULL AND page % 8 < 5""",
     # relations and documents
     "src_sql": """SELECT c_custkey AS id, c_name, c_mktsegment, 'sql' AS source FROM customer
-        WHERE c_acctbal > 0 ORDER BY c_custkey LIMIT 1000""",
+        WHERE c_acctbal > 0""",
     "json_people": f"WITH {PEOPLE} SELECT * FROM people",
     "json_messages": f"""WITH {PEOPLE} SELECT c_custkey,
         name || ' is currently in space flying on the ' || craft || '! {GREETING}' AS message FROM people""",

@@ -388,7 +388,7 @@ def catalogue_walk(spark, sf_dir):
 def src_sql(spark, sf_dir):
     return rel.read_sql(
         spark,
-        "SELECT c_custkey AS id, c_name, c_mktsegment FROM {customer} WHERE c_acctbal > 0 ORDER BY c_custkey LIMIT 1000",
+        "SELECT c_custkey AS id, c_name, c_mktsegment FROM {customer} WHERE c_acctbal > 0",
         customer=R.table(spark, sf_dir, "customer"),
     )
 
