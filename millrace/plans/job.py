@@ -31,6 +31,13 @@ class Source:
 
 @dataclass(frozen=True)
 class Job:
+    """What to read, how to treat it, and where it goes: ``lake/zone/dataset``.
+
+    With ``add_missing_columns`` every source is conformed: exactly the canonical columns, absent
+    text blank. Without it a source keeps its extra columns, and what it lacks is NULL after the
+    union and takes the defaults of ``clean``.
+    """
+
     sources: Sequence[Source]
     lake: str
     zone: str = "processed"

@@ -44,6 +44,27 @@ def test_overwrite_static_and_dynamic(spark, books, tmp_path):
     assert sinks.read_back(spark, only).count() == 1
 
 
+def test_rebalance_splits_a_large_partition_and_gathers_small_ones(spark, tmp_path):
+    df = spark.range(0, 200_000, 1, 16).selectExpr(
+        "cast(id as string) title", "case when id % 3 < 2 then 'web' when id % 100 = 2 then 'csv' else 'sql' end source"
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "200k")
+        plain = sinks.write_parquet(df, str(tmp_path / "plain"))
+        even = sinks.write_parquet(df, str(tmp_path / "even"), rebalance=True)
+    finally:
+        spark.conf.set(key, before)
+    assert plain.rows == even.rows == 200_000
+
+    def files(receipt):
+        return {r.source: r.n_files for r in sinks.inventory(sinks.read_back(spark, receipt)).collect()}
+
+    assert files(plain)["csv"] == 16
+    assert files(even)["csv"] == 1 and files(even)["web"] > files(even)["csv"]
+
+
 def test_writing_nothing(spark, books, tmp_path):
     receipt = sinks.write_parquet(books.where("false"), str(tmp_path / "out"))
     assert receipt.rows == 0
