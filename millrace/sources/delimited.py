@@ -8,6 +8,7 @@ undecodable bytes become U+FFFD, doubled quotes stand for one, words such as ``N
 from __future__ import annotations
 
 import codecs
+import contextlib
 import csv
 import io
 import itertools
@@ -133,12 +134,11 @@ def _paths(files: DataFrame) -> list[str]:
 
 
 def _read_archives_auto(spark: SparkSession, paths: list[str], na_values, source) -> DataFrame:
-    """All columns of some archives. Their rows are written out once: an archive is unpacked by one
-    task, what comes out of it is worked on by many."""
-    content = spark.read.format("binaryFile").load(paths).select("path", "content")
-    rows = materialize(read_archives(content), "archives")
-    names = [name for (header,) in sorted(rows.select("header").distinct().collect()) for name in header]
-    return archive_columns(rows, list(dict.fromkeys(names)), na_values, source)
+    """All columns of some archives. A first pass collects the distinct headers."""
+    archives = spark.read.format("binaryFile").load(paths).select("content")
+    headers = sorted(archive_headers(archives).distinct().collect())
+    names = [name for (header,) in headers for name in header]
+    return read_archives(archives, list(dict.fromkeys(names)), na_values, source)
 
 
 def _open_quotes(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
@@ -168,19 +168,8 @@ def _unique_names(header: Sequence[str]) -> list[str]:
     return names
 
 
-ARCHIVE_ROWS = "path string, member string, header array<string>, fields array<string>"
-_BATCH = 10_000
-
-
-def read_archives(archives: DataFrame, path: str = "path", content: str = "content") -> DataFrame:
-    """Rows of the delimited file in each ZIP archive, one task per archive at most.
-
-    Of the members the first ending in ``.csv``, in any case, is taken, else the first. It is
-    decompressed as a stream. Long rows are dropped, short rows filled with NULL.
-    """
-    return archives.select(quoted(path).alias("path"), quoted(content).alias("content")).mapInPandas(
-        _archive_rows, ARCHIVE_ROWS
-    )
+_BATCH_ROWS = 10_000
+_BATCH_CHARS = 16 * 1024 * 1024
 
 
 def read_zip_csv(
@@ -191,83 +180,111 @@ def read_zip_csv(
     source: str | None = "csv",
 ) -> DataFrame:
     """Named columns of the delimited files inside the ZIP archives below a path."""
-    archives = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .where(F.hex(F.substring("content", 1, 2)) == "504B")
-        .select("path", "content")
-    )
-    return archive_columns(read_archives(archives), columns, na_values, source)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    archives = files.where(F.hex(F.substring("content", 1, 2)) == "504B")
+    return read_archives(archives, columns, na_values, source)
 
 
-def archive_columns(
-    rows: DataFrame,
+def read_archives(
+    archives: DataFrame,
     columns: Sequence[str],
     na_values: Sequence[str] = NA_TEXT,
     source: str | None = "csv",
+    content: str = "content",
 ) -> DataFrame:
-    """Columns by the name in each archive's own header; one it lacks is NULL."""
-    table = rows.select(
-        *[
-            na_to_null(F.get("fields", (F.array_position("header", c) - 1).cast("int")), na_values).alias(c)
-            for c in columns
-        ]
-    )
+    """Named columns of the delimited file in each ZIP archive of a table, one task per archive.
+
+    Of the members the first ending in ``.csv``, in any case, is taken, else the first. It is
+    decompressed as a stream. Columns go by the names in each archive's own header; one it lacks is
+    NULL. Long rows are dropped, short rows filled with NULL.
+    """
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    rows = archives.select(quoted(content).alias("content")).mapInPandas(_archive_rows(list(columns)), schema)
+    table = rows.select(*[na_to_null(quoted(c), na_values).alias(c) for c in columns])
     return table if source is None else tag_source(table, source)
 
 
-def _archive_rows(batches) -> Iterator:
+def archive_headers(archives: DataFrame, content: str = "content") -> DataFrame:
+    """``(header)``, the column names of each archive's delimited file."""
+    return archives.select(quoted(content).alias("content")).mapInPandas(_archive_headers, "header array<string>")
+
+
+def _archive_rows(columns: list[str]):
+    def read(batches):
+        import pandas as pd
+
+        for batch in batches:
+            for content in batch["content"]:
+                with _open_member(content) as text:
+                    header, reader = _open_reader(text)
+                    places = [header.index(c) if c in header else len(header) for c in columns]
+                    for rows in _row_batches(reader, len(header)):
+                        picked = [[row[i] if i < len(row) else None for i in places] for row in rows]
+                        yield pd.DataFrame(picked, columns=columns, dtype=object)
+
+    return read
+
+
+def _archive_headers(batches) -> Iterator:
     import pandas as pd
 
     for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                names = archive.namelist()
-                if not names:
-                    continue
-                member = next((m for m in names if m.lower().endswith(".csv")), names[0])
-                with archive.open(member) as probe:
-                    encoding = _encoding_of(probe.read(ENCODING_PROBE))
-                with archive.open(member) as stream:
-                    text = io.TextIOWrapper(stream, encoding, errors="replace", newline="")
-                    for header, rows in _row_batches(text):
-                        yield pd.DataFrame(
-                            {
-                                "path": path,
-                                "member": member,
-                                "header": [header] * len(rows),
-                                "fields": rows,
-                            }
-                        )
-
-
-def _row_batches(text) -> Iterator[tuple[list[str], list[list[str | None]]]]:
-    first = next((line for line in text if line.strip("\r\n")), None)
+        headers = []
+        for content in batch["content"]:
+            with _open_member(content) as text:
+                headers.append(_open_reader(text)[0])
+        yield pd.DataFrame({"header": headers})
+
+
+@contextlib.contextmanager
+def _open_member(content: bytes):
+    """The archive's delimited file as text; empty text when there is none."""
+    with zipfile.ZipFile(io.BytesIO(content)) as archive:
+        names = archive.namelist()
+        if not names:
+            yield io.StringIO()
+            return
+        member = next((m for m in names if m.lower().endswith(".csv")), names[0])
+        with archive.open(member) as probe:
+            encoding = _encoding_of(probe.read(ENCODING_PROBE))
+        with archive.open(member) as stream:
+            yield io.TextIOWrapper(stream, encoding, errors="replace", newline="")
+
+
+def _open_reader(text) -> tuple[list[str], Iterator[list[str]]]:
+    """Header names, and the reader of the rows behind the header."""
+    first = next((line for line in text if line.strip("\ufeff\r\n")), None)
     if first is None:
-        return
+        return [], iter(())
+    first = first.removeprefix("\ufeff")
     bare = re.sub(_QUOTED, "", first)
     sep = max(DELIMITERS, key=lambda d: (bare.count(d), -DELIMITERS.index(d)))
     csv.field_size_limit(sys.maxsize)
     reader = csv.reader(itertools.chain([first], text), delimiter=sep)
-    header = next(reader)
-    header = _unique_names([header[0].removeprefix("\ufeff"), *header[1:]])
-    rows: list[list[str | None]] = []
+    return _unique_names(next(reader)), reader
+
+
+def _row_batches(reader, width: int) -> Iterator[list[list[str]]]:
+    """Rows that are neither blank nor too long, in batches bounded by rows and by text."""
+    rows: list[list[str]] = []
+    chars = 0
     for fields in reader:
         blank = not fields or (len(fields) == 1 and not fields[0].strip())
-        if blank or len(fields) > len(header):
+        if blank or len(fields) > width:
             continue
-        rows.append(fields + [None] * (len(header) - len(fields)))
-        if len(rows) == _BATCH:
-            yield header, rows
-            rows = []
+        rows.append(fields)
+        chars += sum(map(len, fields))
+        if len(rows) == _BATCH_ROWS or chars > _BATCH_CHARS:
+            yield rows
+            rows, chars = [], 0
     if rows:
-        yield header, rows
+        yield rows
 
 
 def _encoding_of(head: bytes) -> str:
     try:
-        codecs.getincrementaldecoder("utf-8")().decode(head)
+        # a character cut by the end of the probe does not speak against UTF-8
+        codecs.getincrementaldecoder("utf-8")().decode(head, final=len(head) < ENCODING_PROBE)
     except UnicodeDecodeError:
         return "latin-1"
     return "utf-8"

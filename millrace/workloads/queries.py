@@ -460,7 +460,7 @@ def csv_bad_rows(spark, sf_dir):
 @query
 def src_zip_csv(spark, sf_dir):
     archives = R.zip_archives(spark, sf_dir)
-    return delimited.archive_columns(delimited.read_archives(archives), ["part", "title", "price", "isbn"])
+    return delimited.read_archives(archives, ["part", "title", "price", "isbn"])
 
 
 # --- sinks --------------------------------------------------------------------------------

@@ -255,16 +255,16 @@ def test_read_csv_auto_opens_archives(spark, tmp_path):
 
 
 def test_zip_member_with_long_fields_and_quoted_header(spark):
-    body = '"a,b;c",t\n' + "x" * 200_000 + ",1\n \n"
+    body = '\ufeff"a,b;c",t\n' + "x" * 200_000 + ",1\n \n"
     df = spark.createDataFrame([("p", bytearray(archive(x__csv=body)))], "path string, content binary")
-    got = delimited.archive_columns(delimited.read_archives(df), ["a,b;c", "t"])
+    got = delimited.read_archives(df, ["a,b;c", "t"])
     assert [(len(r[0]), r.t) for r in got.collect()] == [(200_000, "1")]
 
 
 def test_zip_batches(spark):
     body = "n\n" + "\n".join(str(i) for i in range(25_000))
     df = spark.createDataFrame([("p", bytearray(archive(x__csv=body)))], "path string, content binary")
-    got = delimited.archive_columns(delimited.read_archives(df), ["n"])
+    got = delimited.read_archives(df, ["n"])
     assert got.agg(F.count("n"), F.sum(F.col("n").cast("long"))).head() == (25_000, sum(range(25_000)))
 
 
