@@ -16,14 +16,14 @@ def db():
     return oracle.connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(contract.QUERIES))
 def test_query(spark, db, name):
     df = contract.queries()[name](spark, SF_DIR)
     assert oracle.difference(df, db, contract.oracle_sql()[name]) is None
 
 
 def test_every_query_has_an_oracle():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert contract.QUERIES.keys() == contract.ORACLES.keys()
 
 
 def test_entry(spark):
