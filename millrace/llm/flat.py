@@ -21,6 +21,15 @@ def keyed_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names`` lengthened until none is a column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    lead = "_"
+    while any((lead + n).lower() in taken for n in names):
+        lead += "_"
+    return [lead + n for n in names]
+
+
 def same_row(a: DataFrame, b: DataFrame) -> Column:
     return a["id"].eqNullSafe(b["id"]) & (a["h"] == b["h"])
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import substring_dedup, suffix_dedup
+from millrace.llm import simhash, substring_dedup, suffix_dedup
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_documents(spark, sf_dir), words=3, bits=3).drop("h", "component")
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeated_bytes(_documents(spark, sf_dir))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -26,6 +30,7 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
 }
 
