@@ -12,11 +12,20 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
+
+#: Rows that Spark hands to a Python worker at once; its own default makes batches of long texts large.
+BATCH_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> None:
+    """Bound the memory of Python workers: a session setting, since Spark has none for one query."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def keyed_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, h, text``: rows by id and text hash, so rows that share an id stay apart; null texts are empty."""
+    small_batches(df)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
 
@@ -81,7 +90,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(20, int(n).bit_length())
+    size = 1 << max(18, int(n).bit_length())
     up = per_process(f"up{size}", lambda: _powers(_BASE, size))
     down = per_process(f"down{size}", lambda: _powers(pow(_BASE, -1, 1 << 64), size))
     return up, down

@@ -297,7 +297,7 @@ def with_repeats_removed(docs: DataFrame, window: int, k: int, by_words: bool, b
                 left = b" ".join(w for part in kept for w in part) if by_words else b"".join(kept)
                 out.append((len(units), removed, spans, left))
                 held += len(left)
-                if held > 16 * flat.CHUNK_BYTES or i + 1 == batch.num_rows:
+                if held > 4 << 20 or i + 1 == batch.num_rows:
                     yield pa.RecordBatch.from_arrays(
                         [ids.slice(first, len(out)), *(pa.array([r[c] for r in out], t) for c, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.binary())))],
                         names=["id", "n_units", "n_removed", "n_spans", "kept"],
