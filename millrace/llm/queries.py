@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import simhash, substring_dedup, suffix_dedup
+from millrace.llm import bpe, sharding, simhash, substring_dedup, suffix_dedup, vectors
+
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +26,25 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir), words=3, bits=3).drop("h", "component")
 
 
+def op5_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.bounded_ring(_documents(spark, sf_dir), shards=24, points=128)
+
+
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), threshold=0.9)
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe.encode(_documents(spark, sf_dir), VOCABULARY, public_tokenizers.PATTERN)
+    both = bpe.decode(encoded, VOCABULARY)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeated_bytes(_documents(spark, sf_dir))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -31,6 +53,9 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op5_bounded_ring": op5_bounded_ring,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
+    "op7_byte_bpe": op7_byte_bpe,
     "op9_suffix_dedup": op9_suffix_dedup,
 }
 
