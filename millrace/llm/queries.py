@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, sharding, simhash, substring_dedup, suffix_dedup, vectors
+from millrace.llm import bpe, pii, sharding, simhash, substring_dedup, suffix_dedup, vectors
+
+#: Stands in for a secret that a real run gets from its deployment.
+PSEUDONYM_KEY = "not a secret"
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -50,6 +53,11 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.pseudonymise(_documents(spark, sf_dir), PSEUDONYM_KEY, kinds_col="kinds")
+    return out.select("doc_id", F.size("kinds").cast("long").alias("n_values"), "kinds", "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -57,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_byte_bpe": op7_byte_bpe,
     "op9_suffix_dedup": op9_suffix_dedup,
+    "op10_pii_pseudonyms": op10_pii_pseudonyms,
 }
 
 ORACLES: dict[str, str] = {}
