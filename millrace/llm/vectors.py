@@ -66,7 +66,7 @@ def _tile_pair(threshold: float):
     def links(table: pa.Table) -> pa.Table:
         side = table.column("tile").to_numpy() != table.column("low").to_numpy()
         same = bool((table.column("low").to_numpy() == table.column("high").to_numpy())[0])
-        unit = np.stack(table.column("v").to_numpy()).astype(np.float64)
+        unit = table.column("v").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
         unit /= np.linalg.norm(unit / np.abs(unit).max(axis=1)[:, None], axis=1)[:, None] * np.abs(unit).max(axis=1)[:, None]
         weight = table.column("copies").to_numpy().astype(np.float64)
         node = table.column("c").to_numpy()
@@ -99,7 +99,7 @@ def _tile_pair(threshold: float):
     return links
 
 
-def near_duplicates(df: DataFrame, threshold: float = 0.9, tile: int = 2048, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def near_duplicates(df: DataFrame, threshold: float = 0.9, tile: int = 4096, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """One row per row of ``df``: ``id_col, n_links, component_id, kept``.
 
     Vectors link at cosine ``threshold`` (above 0) or more. ``n_links`` counts the other rows linked directly,
