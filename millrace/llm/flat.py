@@ -71,6 +71,11 @@ def chunks(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_BYTES) -> Itera
             first = last
 
 
+def pieces(body: np.ndarray, at: np.ndarray) -> list[bytes]:
+    whole = body.tobytes()
+    return [whole[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+
+
 def per_process(key: str, build: Callable):
     """``build()`` once in each Python worker: functions travel by value, so their own globals don't last."""
     kept = sys.modules.setdefault("_millrace_kept", types.ModuleType("_millrace_kept"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, pii, sharding, simhash, substring_dedup, suffix_dedup, vectors
+from millrace.llm import bpe, licenses, pii, sharding, simhash, substring_dedup, suffix_dedup, toxicity, vectors
 
 #: Stands in for a secret that a real run gets from its deployment.
 PSEUDONYM_KEY = "not a secret"
@@ -29,6 +29,10 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir), words=3, bits=3).drop("h", "component")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_documents(spark, sf_dir))
+
+
 def op5_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.bounded_ring(_documents(spark, sf_dir), shards=24, points=128)
 
@@ -48,6 +52,12 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, model, threshold=0.7)
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeated_bytes(_documents(spark, sf_dir))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -61,9 +71,11 @@ def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_license_scan": op3_license_scan,
     "op5_bounded_ring": op5_bounded_ring,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_toxicity": op8_toxicity,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_pii_pseudonyms": op10_pii_pseudonyms,
 }
