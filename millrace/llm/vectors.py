@@ -67,7 +67,9 @@ def _tile_pair(threshold: float):
         side = table.column("tile").to_numpy() != table.column("low").to_numpy()
         same = bool((table.column("low").to_numpy() == table.column("high").to_numpy())[0])
         unit = table.column("v").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
-        unit /= np.linalg.norm(unit / np.abs(unit).max(axis=1)[:, None], axis=1)[:, None] * np.abs(unit).max(axis=1)[:, None]
+        # Divided by the largest component first: squares of very large or small ones would leave the range.
+        unit = unit / np.abs(unit).max(axis=1)[:, None]
+        unit /= np.linalg.norm(unit, axis=1)[:, None]
         weight = table.column("copies").to_numpy().astype(np.float64)
         node = table.column("c").to_numpy()
         first = np.flatnonzero(~side)
