@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, licenses, pii, sharding, simhash, substring_dedup, suffix_dedup, toxicity, vectors
+from millrace.llm import bpe, decontaminate, licenses, pii, sharding, simhash, substring_dedup, suffix_dedup, toxicity, vectors
 
 #: Stands in for a secret that a real run gets from its deployment.
 PSEUDONYM_KEY = "not a secret"
@@ -33,6 +33,11 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_documents(spark, sf_dir))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.contaminated(_documents(spark, sf_dir), benchmark).drop("h")
+
+
 def op5_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.bounded_ring(_documents(spark, sf_dir), shards=24, points=128)
 
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_license_scan": op3_license_scan,
+    "op4_decontamination": op4_decontamination,
     "op5_bounded_ring": op5_bounded_ring,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_byte_bpe": op7_byte_bpe,
