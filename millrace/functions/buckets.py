@@ -55,4 +55,7 @@ def rating_label(c: Column) -> Column:
 
 
 def _first_match(steps, otherwise: str) -> Column:
-    return F.coalesce(*[F.when(test, F.lit(label)) for test, label in steps], F.lit(otherwise))
+    chain = F
+    for test, label in steps:
+        chain = chain.when(test, label)
+    return F.lit(otherwise) if chain is F else chain.otherwise(otherwise)

@@ -29,7 +29,7 @@ def clean(
     A NaN price counts as missing; ``missing="keep"`` leaves it NaN.
     """
     require_columns(df, ("title", "source", "availability", "price"), "clean")
-    titled = df.where(~is_blank(F.col("title"))) if blank_is_missing else df.dropna(subset=["title"])
+    titled = df.where(~is_blank(F.col("title"))) if blank_is_missing else df.where(F.col("title").isNotNull())
     normalized = {"title": F.trim("title"), "source": F.lower(F.trim("source"))} if normalize_keys else None
     absent = F.col("price").isNull()
     if missing == "null" and not is_text(df, "price"):

@@ -65,8 +65,8 @@ def conform(
     text_defaults: Mapping[str, str] = TEXT_DEFAULTS,
     missing: str = "null",
 ) -> DataFrame:
-    """Exactly the schema's columns in its order: absent ones added, others dropped, all coerced
-    and filled. One projection, so unused columns never leave the scan."""
+    """Exactly the schema's columns in its order: absent ones added, text as blank, others dropped, all
+    coerced and filled. One projection, so unused columns never leave the scan."""
     return df.select(*[_conformed(df, f, text_defaults, missing).alias(f.name) for f in schema])
 
 
@@ -80,7 +80,7 @@ def _conformed(df: DataFrame, field: T.StructField, text_defaults: Mapping[str,
         return coerce_numeric(quoted(field.name), missing)
     value = F.lit(None).cast(field.dataType) if absent else quoted(field.name).try_cast(field.dataType)
     if field.name in text_defaults:
-        value = F.coalesce(value, F.lit(text_defaults[field.name]))
+        value = F.coalesce(value, F.lit("" if absent else text_defaults[field.name]))
     return value
 
 

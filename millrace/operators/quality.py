@@ -1,11 +1,12 @@
-"""Data-quality rules, counted for a whole table in one aggregation."""
+"""Data-quality rules, counted for a whole table: plain ones in one aggregation, unique keys in one each."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millrace.functions.text import coerce_numeric, is_blank
 from millrace.operators.columns import quoted
@@ -13,10 +14,14 @@ from millrace.operators.columns import quoted
 
 @dataclass(frozen=True)
 class Rule:
-    """A named rule; ``failures`` gives the aggregate that counts the rows breaking it."""
+    """A named rule; ``failures`` gives the aggregate that counts the rows breaking it.
+
+    With ``key`` that aggregate runs over the counts ``_n`` of the key's values, not over the rows.
+    """
 
     name: str
     failures: Callable[[DataFrame], Column]
+    key: tuple[str, ...] = ()
 
 
 def required(column: str) -> Rule:
@@ -38,17 +43,14 @@ def numeric(column: str) -> Rule:
 def unique(*columns: str) -> Rule:
     """No value twice. Rows with a NULL in the key are not compared, as in SQL's UNIQUE.
 
-    The distinct count partially aggregates by the key, so copies of a key fold before the shuffle.
+    The key's values are counted first, so copies of a key fold before the shuffle.
     """
 
     def failures(df: DataFrame) -> Column:
-        key = [quoted(c) for c in columns]
-        complete = F.lit(True)
-        for c in key:
-            complete = complete & c.isNotNull()
-        return F.count_if(complete) - F.count_distinct(*key)
+        complete = reduce(Column.__and__, [quoted(c).isNotNull() for c in columns])
+        return F.coalesce(F.sum(F.when(complete, F.col("_n") - 1)), F.lit(0))
 
-    return Rule(f"unique:{','.join(columns)}", failures)
+    return Rule(f"unique:{','.join(columns)}", failures, columns)
 
 
 def domain(column: str, values: Sequence) -> Rule:
@@ -68,11 +70,15 @@ def in_range(column: str, low, high) -> Rule:
 
 
 def above(column: str, low) -> Rule:
-    """Greater than the bound; NULL fails."""
-    return Rule(
-        f"above:{column}",
-        lambda df: F.count_if(~F.coalesce(quoted(column) > low, F.lit(False))),
-    )
+    """Greater than the bound; NULL and NaN fail."""
+
+    def failures(df: DataFrame) -> Column:
+        passes = quoted(column) > low
+        if isinstance(df.schema[column].dataType, T.FractionalType):
+            passes = passes & ~F.isnan(quoted(column).cast("double"))
+        return F.count_if(~F.coalesce(passes, F.lit(False)))
+
+    return Rule(f"above:{column}", failures)
 
 
 def not_blank(column: str) -> Rule:
@@ -83,12 +89,23 @@ def not_blank(column: str) -> Rule:
 def quality_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """One row per rule: rows checked, rows failed, passed or not.
 
-    All rules share one pass over the table; its single row is then turned into one row per rule.
+    Plain rules share one pass over the table, whose single row is then turned into one row per rule.
+    Each uniqueness rule folds the table by its key once; no row is copied for it.
     """
     if not rules:
         raise ValueError("quality_report needs at least one rule")
+    plain = [rule for rule in rules if not rule.key]
+    reports = [_counted(df, plain, F.count(F.lit(1)))] if plain else []
+    for rule in rules:
+        if rule.key:
+            folded = df.groupBy(*[quoted(c) for c in rule.key]).agg(F.count(F.lit(1)).alias("_n"))
+            reports.append(_counted(folded, [rule], F.coalesce(F.sum("_n"), F.lit(0))))
+    return reduce(DataFrame.unionAll, reports)
+
+
+def _counted(df: DataFrame, rules: Sequence[Rule], checked: Column) -> DataFrame:
     counts = df.agg(
-        F.count(F.lit(1)).alias("_checked"),
+        checked.alias("_checked"),
         *[rule.failures(df).cast("long").alias(f"_failed{i}") for i, rule in enumerate(rules)],
     )
     rows = [

@@ -33,7 +33,7 @@ def union_sources(dfs: Sequence[DataFrame]) -> DataFrame:
 
 
 def drop_null(df: DataFrame, column: str = "title") -> DataFrame:
-    return df.dropna(subset=[column])
+    return df.where(quoted(column).isNotNull())
 
 
 def blank_rows(df: DataFrame, column: str = "title") -> DataFrame:

@@ -66,7 +66,8 @@ def open_sources(spark: SparkSession, job: Job) -> dict[str, DataFrame]:
             absent = isinstance(e, FileNotFoundError) or e.getCondition() in _ABSENT
             if not absent or source.required or job.fail_on_source_error:
                 raise
-            log.warning("source %s passed over: %s", source.name, e)
+            reason = e.getCondition() if isinstance(e, AnalysisException) else e
+            log.warning("source %s passed over: %s", source.name, reason)
     if not opened:
         raise ValueError("no source could be read; job stopped")
     return opened

@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from millrace.operators.columns import quoted
-from millrace.sources.probe import list_files
+from millrace.sources.probe import as_literal_path, list_files
 
 
 @dataclass(frozen=True)
@@ -70,18 +70,27 @@ def write_csv(df: DataFrame, path: str, encoding: str = "UTF-8", sep: str = ",")
     return path
 
 
-def list_objects(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
-    """``(path, length, modificationTime)`` of the data files below a path whose key, the part
-    after the path, starts with a prefix. A path that does not exist holds none."""
+def list_objects(
+    spark: SparkSession, path: str, prefix: str = "", glob: str | None = None, first: int | None = None
+) -> DataFrame:
+    """``(path, length, modificationTime, key)`` of the files of any kind below a path whose key, the
+    part after the path, starts with a prefix.
+
+    Only the folders that the prefix names are listed. ``glob`` picks names, ``first`` the first keys
+    in order. Files that Spark takes for hidden (a name that begins with ``_`` or ``.``) are none. A
+    path that does not exist holds none.
+    """
+    folder = prefix.rpartition("/")[0]
     try:
-        files = list_files(spark, path, "*.parquet")
+        files = list_files(spark, f"{path.rstrip('/')}/{as_literal_path(folder)}" if folder else path, glob)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], "path string, length long, modificationTime timestamp, key string")
     base = path.rstrip("/").split("://", 1)[-1].removeprefix("file:") + "/"
     keyed = files.withColumn("key", F.element_at(F.split("path", _literal(base), 2), -1))
-    return keyed.where(F.col("key").startswith(prefix))
+    keyed = keyed.where(F.col("key").startswith(prefix))
+    return keyed if first is None else keyed.orderBy("key").limit(first)
 
 
 def _literal(text: str) -> str:
@@ -102,5 +111,5 @@ def inventory(dataset: DataFrame, partition_by: Sequence[str] = ("source",)) ->
 
 def require_output(spark: SparkSession, path: str, prefix: str = "") -> None:
     """Fail when the path holds no data file."""
-    if list_objects(spark, path, prefix).isEmpty():
+    if list_objects(spark, path, prefix, "*.parquet").isEmpty():
         raise ValueError(f"no Parquet file below {path}/{prefix}")

@@ -25,10 +25,10 @@ from millrace.operators.columns import quoted, tag_source
 from millrace.operators.rows import union_sources
 from millrace.schemas import NA_TEXT
 from millrace.session import materialize
-from millrace.sources.probe import DELIMITERS, ENCODING_PROBE, profile_files
+from millrace.sources.probe import DELIMITERS, LATIN1, RARE_DELIMITERS, UTF8, UTF16, as_literal_path, profile_files
 
 _RAW = "_malformed"
-_QUOTED = '"(?:[^"]|"")*+"'
+_QUOTED = '"[^"]*+(?:""[^"]*+)*+"'
 
 
 def field_count(line: Column, sep: str) -> Column:
@@ -95,19 +95,21 @@ def read_csv_auto(
     """Delimited files of any mix of encodings, delimiters and headers, in ZIP archives or not,
     united by column name.
 
-    The files are profiled first and read once per layout found. With ``multiline=None`` a scan looks
-    for files with a quote left open at a line's end, and only those give up splitting; pass True or
-    False to save that scan. The driver sees the layouts and, only when there are several, the paths
-    of each, as it does for any read of listed files.
+    The files are profiled first and read once per layout found. Files with a quote left open at a
+    line's end, and those in UTF-16, are read whole; pass ``multiline`` as True or False where that is
+    known of all. A file that is no delimited text (HTML, or bytes of another kind) is an error that
+    names it. The driver sees the layouts and, only when there are several, the paths of each, as it
+    does for any read of listed files.
     """
-    files = profile_files(spark, path, glob).select("path", "uri", "format", "header", "delimiter", "encoding")
-    if multiline is None:
-        files = files.join(_open_quotes(spark, path, glob), "uri", "left").withColumn(
-            "multiline", F.coalesce("multiline", F.lit(False))
-        )
-    else:
-        files = files.withColumn("multiline", F.lit(multiline))
-    files = materialize(files, "profile")
+    files = profile_files(spark, path, glob).withColumn(
+        "multiline", (F.col("encoding") == UTF16) | (F.col("open_quote") if multiline is None else F.lit(multiline))
+    )
+    files = materialize(files.select("path", "format", "inner", "header", "delimiter", "encoding", "multiline"), "profile")
+    # a packed file is opened by its name's ending; without it nobody would unpack it
+    unread = F.col("inner").isin("html", "binary") | ((F.col("format") == "gzip") & ~F.lower("path").endswith(".gz"))
+    refused = [f"{row['path']} ({row['inner']})" for row in files.where(unread).orderBy("path").limit(5).collect()]
+    if refused:
+        raise ValueError(f"not delimited text: {', '.join(refused)}")
     archives = files.where(F.col("format") == "zip")
     plain = files.where((F.col("format") != "zip") & (F.col("header") != ""))
     layouts = sorted(plain.select("header", "delimiter", "encoding", "multiline").distinct().collect())
@@ -130,7 +132,7 @@ def read_csv_auto(
 
 
 def _paths(files: DataFrame) -> list[str]:
-    return sorted(row["path"] for row in files.select("path").collect())
+    return sorted(as_literal_path(row["path"]) for row in files.select("path").collect())
 
 
 def _read_archives_auto(spark: SparkSession, paths: list[str], na_values, source) -> DataFrame:
@@ -141,20 +143,6 @@ def _read_archives_auto(spark: SparkSession, paths: list[str], na_values, source
     return read_archives(archives, list(dict.fromkeys(names)), na_values, source)
 
 
-def _open_quotes(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
-    """``(uri, multiline)``: does any line of a file hold an odd number of quotes?"""
-    reader = spark.read.option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    quotes = F.octet_length("value") - F.octet_length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return (
-        reader.text(path)
-        .where(quotes % 2 == 1)
-        .groupBy(F.col("_metadata.file_path").alias("uri"))
-        .agg(F.lit(True).alias("multiline"))
-    )
-
-
 def _unique_names(header: Sequence[str]) -> list[str]:
     """Header names with repeats numbered and gaps named, as pandas does."""
     names: list[str] = []
@@ -245,8 +233,8 @@ def _open_member(content: bytes):
             yield io.StringIO()
             return
         member = next((m for m in names if m.lower().endswith(".csv")), names[0])
-        with archive.open(member) as probe:
-            encoding = _encoding_of(probe.read(ENCODING_PROBE))
+        with archive.open(member) as stream:
+            encoding = _encoding_of(stream)
         with archive.open(member) as stream:
             yield io.TextIOWrapper(stream, encoding, errors="replace", newline="")
 
@@ -258,7 +246,8 @@ def _open_reader(text) -> tuple[list[str], Iterator[list[str]]]:
         return [], iter(())
     first = first.removeprefix("\ufeff")
     bare = re.sub(_QUOTED, "", first)
-    sep = max(DELIMITERS, key=lambda d: (bare.count(d), -DELIMITERS.index(d)))
+    known = DELIMITERS if any(d in bare for d in DELIMITERS) else (*RARE_DELIMITERS, DELIMITERS[0])
+    sep = max(known, key=lambda d: (bare.count(d), -known.index(d) if any(k in bare for k in known) else d == DELIMITERS[0]))
     csv.field_size_limit(sys.maxsize)
     reader = csv.reader(itertools.chain([first], text), delimiter=sep)
     return _unique_names(next(reader)), reader
@@ -281,10 +270,17 @@ def _row_batches(reader, width: int) -> Iterator[list[list[str]]]:
         yield rows
 
 
-def _encoding_of(head: bytes) -> str:
+def _encoding_of(stream) -> str:
+    """Encoding of all of a stream; it is read through once, a piece at a time."""
+    head = stream.read(1 << 16)
+    if head[:2] in (b"\xff\xfe", b"\xfe\xff"):
+        return UTF16
+    decoder = codecs.getincrementaldecoder("utf-8")()
     try:
-        # a character cut by the end of the probe does not speak against UTF-8
-        codecs.getincrementaldecoder("utf-8")().decode(head, final=len(head) < ENCODING_PROBE)
+        while head:
+            decoder.decode(head)
+            head = stream.read(1 << 16)
+        decoder.decode(b"", final=True)
     except UnicodeDecodeError:
-        return "latin-1"
-    return "utf-8"
+        return LATIN1
+    return UTF8

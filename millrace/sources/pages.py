@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.functions import markup as M
 from millrace.functions.text import parse_money, rating_from_word, strip_ws
 from millrace.operators.columns import quoted
-from millrace.session import materialize
+from millrace.session import materialize, staging_path
 
 _RECORD = ("title", "price", "availability", "rating")
 
@@ -76,43 +76,57 @@ def with_next_url(pages: DataFrame, base_url: str, html: str = "html", name: str
     return raw.withColumn(name, F.concat(F.lit(base_url), M.unescape(quoted(name))))
 
 
+def link_edges(links: DataFrame, url: str, next_url: str) -> DataFrame:
+    """``(_at, _next)``: one row per stored URL, written out."""
+    edges = links.where(quoted(url).isNotNull()).groupBy(quoted(url).alias("_at")).agg(F.min(quoted(next_url)).alias("_next"))
+    return materialize(edges, "links")
+
+
+def follow(going: DataFrame, edges: DataFrame) -> DataFrame:
+    """Walks joined with the stored page at their ``_goal``."""
+    return going.join(edges, F.col("_goal") == F.col("_at"))
+
+
 def walk_pages(
     links: DataFrame,
     starts: DataFrame,
-    max_pages: int = 5,
+    max_pages: int | None,
     url: str = "url",
     next_url: str = "next_url",
 ) -> DataFrame:
-    """Follow next links from every start URL over at most ``max_pages`` stored pages.
+    """Follow next links from every start URL over stored pages: at most ``max_pages``, or to the end.
 
     Gives ``(start_url, depth, url)``, depth counting from 1. A walk ends at a page without a link
-    or at a URL that is not stored; a loop is walked until the bound. A URL stored twice counts once.
+    or at a URL that is not stored. With a bound, a loop is walked until the bound; to the end, a walk
+    stops once it is back on a page, and each page of it counts at its least depth. A URL stored twice
+    counts once.
 
     The links are reduced to one narrow row per URL and written out once, so that pages are parsed
     once and a link that many walks share is an ordinary skewed join side, which adaptive execution
-    splits. Each walk stays one row while it grows: the plan has one join per step.
+    splits. Each step writes its pages; only walks that go on take part in the next, so no step's
+    plan or rows grow with the depth.
     """
-    if max_pages < 1:
+    if max_pages is not None and max_pages < 1:
         raise ValueError("max_pages must be at least 1")
-    edges = materialize(
-        links.where(quoted(url).isNotNull())
-        .groupBy(quoted(url).alias("_at"))
-        .agg(F.min(quoted(next_url)).alias("_next")),
-        "links",
-    )
-    walks = starts.select(quoted(url).alias("start_url")).distinct()
-    walks = walks.withColumns(
-        {"_goal": F.col("start_url"), "_trail": F.array().cast("array<string>")}
-    )
-    for _ in range(max_pages):
-        # ended walks get a key of their own that no page has, instead of all meeting at NULL
-        goal = F.coalesce("_goal", F.concat(F.lit("\x00"), "start_url"))
-        walks = walks.withColumn("_goal", goal).join(edges, F.col("_goal") == F.col("_at"), "left").select(
-            "start_url",
-            F.col("_next").alias("_goal"),
-            F.when(F.col("_at").isNotNull(), F.array_append("_trail", F.col("_at")))
-            .otherwise(F.col("_trail"))
-            .alias("_trail"),
-        )
-    steps = walks.select("start_url", F.posexplode("_trail").alias("depth", "url"))
-    return steps.withColumn("depth", F.col("depth") + 1)
+    spark = links.sparkSession
+    edges = link_edges(links, url, next_url)
+    path = staging_path(spark, "walks")
+    # a loop is met by holding every walk against a page of its own that moves up at depths 1, 2, 4, ...
+    going = starts.select(quoted(url).alias("start_url"), quoted(url).alias("_goal")).distinct().withColumn("_mark", F.lit(None).cast("string"))
+    depth = 0
+    while max_pages is None or depth < max_pages:
+        depth += 1
+        moved = follow(going, edges)
+        if max_pages is None:
+            moved = moved.where(~F.col("_at").eqNullSafe(F.col("_mark")))
+        mark = F.col("_at") if depth & (depth - 1) == 0 else F.col("_mark")
+        step = moved.select("start_url", F.lit(depth).alias("depth"), F.col("_at").alias("url"), "_next", mark.alias("_mark"))
+        step.write.mode("append").parquet(f"{path}/step={depth}")
+        step = spark.read.schema(step.schema).parquet(f"{path}/step={depth}")
+        going = step.where(F.col("_next").isNotNull()).select("start_url", F.col("_next").alias("_goal"), "_mark")
+        if going.isEmpty():
+            break
+    walked = spark.read.schema("start_url string, depth int, url string").option("recursiveFileLookup", "true").parquet(path)
+    if max_pages is None:
+        walked = walked.groupBy("start_url", "url").agg(F.min("depth").alias("depth")).select("start_url", "depth", "url")
+    return walked

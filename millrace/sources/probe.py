@@ -1,4 +1,4 @@
-"""What is in a file: format, encoding, delimiter, header, all from its first bytes.
+"""What is in a file: format, delimiter and header from its first bytes, encoding from all of it.
 
 The sniffing itself is column expressions over the head of a file, so a table that already holds
 the bytes can use it as well.
@@ -6,19 +6,22 @@ the bytes can use it as well.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 UTF8 = "UTF-8"
 LATIN1 = "ISO-8859-1"
+UTF16 = "UTF-16"
 DELIMITERS = (",", ";", "\t", "|")
+#: considered only in a header that has none of the others
+RARE_DELIMITERS = (" ", ":")
 FORMAT_PROBE = 32
-#: text decoders read at least this many bytes before they give out the first character
-ENCODING_PROBE = 8192
 HEAD_BYTES = 64 * 1024
 #: files above this size are not loaded whole to look at their head
 WHOLE_FILE_LIMIT = 1024 * 1024
 
-_QUOTED = '"(?:[^"]|"")*+"'
+_QUOTED = '"[^"]*+(?:""[^"]*+)*+"'
 
 
 def magic_hex(content: Column, n: int = 4) -> Column:
@@ -39,42 +42,47 @@ def file_format(content: Column) -> Column:
     )
 
 
-def file_encoding(content: Column, probe: int = ENCODING_PROBE) -> Column:
-    """UTF-8 when the first ``probe`` bytes decode as such, else Latin-1, which takes any byte.
-
-    A character cut by the end of the probe does not speak against UTF-8.
-    """
-    head = F.substring(content, 1, probe)
-    cut = F.when(F.octet_length(content) > probe, _cut_bytes(head)).otherwise(F.lit(0))
-    whole = F.substring(head, F.lit(1), F.octet_length(head) - cut)
-    return F.when(F.is_valid_utf8(whole.cast("string")), UTF8).otherwise(LATIN1)
-
-
-def _cut_bytes(head: Column) -> Column:
-    """How many bytes at the end begin a UTF-8 character without finishing it."""
-    tail = F.lpad(F.hex(F.substring(head, -3, 3)), 6, "0")
+def file_encoding(content: Column) -> Column:
+    """UTF-16 by its mark; else UTF-8 when all of the content decodes as such, else Latin-1, which
+    takes any byte."""
     return (
-        F.when(tail.rlike("^....(C[2-9A-F]|D.|E.|F[0-4])$"), 1)
-        .when(tail.rlike("^..(E.|F[0-4])[89AB].$"), 2)
-        .when(tail.rlike("^F[0-4][89AB].[89AB].$"), 3)
-        .otherwise(0)
+        F.when(file_format(content) == "utf16", UTF16)
+        .when(F.is_valid_utf8(content.cast("string")), UTF8)
+        .otherwise(LATIN1)
     )
 
 
 def header_line(content: Column, encoding: Column) -> Column:
     """First line of text that is not empty, without a byte-order mark."""
     utf8 = F.make_valid_utf8(content.cast("string"))
-    text = F.when(encoding == UTF8, utf8).otherwise(F.decode(content, LATIN1))
+    text = F.when(encoding == UTF8, utf8).when(encoding == UTF16, _utf16(content)).otherwise(F.decode(content, LATIN1))
     return F.regexp_extract(text, "^\ufeff?[\r\n]*+([^\r\n]*+)", 1)
 
 
+def _utf16(content: Column) -> Column:
+    """Text of UTF-16 bytes: an odd last byte is half a letter that a cut left over, and so is the last
+    letter, which may be half a pair."""
+    whole = F.substring(content, F.lit(1), F.greatest(F.octet_length(content).bitwiseAND(F.lit(-2)) - 2, F.lit(0)))
+    return F.decode(whole, UTF16)
+
+
 def header_delimiter(header: Column) -> Column:
-    """The candidate found most often outside quotes; the first of ``DELIMITERS`` wins a tie,
-    a comma stands in when there is none."""
+    """The candidate found most often outside quotes; the first of ``DELIMITERS`` wins a tie. Blank and
+    colon stand in when there is none, then a comma."""
     bare = F.regexp_replace(header, _QUOTED, "")
-    counts = [F.length(bare) - F.length(F.replace(bare, F.lit(d), F.lit(""))) for d in DELIMITERS]
-    ranked = [F.struct(n.alias("n"), F.lit(-i).alias("rank"), F.lit(d).alias("d")) for i, (n, d) in enumerate(zip(counts, DELIMITERS))]
-    return F.array_max(F.array(*ranked)).getField("d")
+
+    def most(candidates: tuple[str, ...]) -> Column:
+        counts = [F.length(bare) - F.length(F.replace(bare, F.lit(d), F.lit(""))) for d in candidates]
+        ranked = [F.struct(n.alias("n"), F.lit(-i).alias("rank"), F.lit(d).alias("d")) for i, (n, d) in enumerate(zip(counts, candidates))]
+        return F.array_max(F.array(*ranked))
+
+    usual, rare = most(DELIMITERS), most(RARE_DELIMITERS)
+    return F.when(usual.getField("n") > 0, usual.getField("d")).when(rare.getField("n") > 0, rare.getField("d")).otherwise(DELIMITERS[0])
+
+
+def as_literal_path(path: str) -> str:
+    """A path whose name is taken as it is, although Spark reads paths as patterns."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
 def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
@@ -86,8 +94,8 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataF
 
 
 def file_heads(spark: SparkSession, path: str, n: int = HEAD_BYTES, glob: str | None = None) -> DataFrame:
-    """``(path, uri, length, content)`` with the head of every file: its first line, and at least
-    ``n`` bytes where it has them. ``uri`` is the path as ``_metadata.file_path`` writes it.
+    """``(path, uri, length, content)`` with the head of every file: up to the end of its first line that
+    is not empty, and at least ``n`` bytes where it has them. ``uri`` is the path as ``_metadata.file_path`` writes it.
 
     Small files come through Spark's own reader. Of others only the head is fetched, by a ranged read
     inside the task, so neither the size of a file nor of the dataset matters. Where the storage has
@@ -101,7 +109,8 @@ def file_heads(spark: SparkSession, path: str, n: int = HEAD_BYTES, glob: str |
     large = files.where(is_large).select("path", "uri", "length")
     some_large = large.select("uri").head()
     ranged = some_large is not None and _has_ranged_reads(some_large["uri"])
-    first_line = F.octet_length(F.substring_index(F.col("content").cast("string"), "\n", 1))
+    # in Latin-1 every byte is a letter, so letters count bytes
+    first_line = F.length(F.regexp_extract(F.decode("content", LATIN1), r"^[\r\n]*+[^\r\n]*+", 0))
     whole = (files.where(~is_large) if ranged else files).select(
         "path",
         "uri",
@@ -133,7 +142,7 @@ def _range_reader(n: int):
                 filesystem, name = _filesystem(uri)
                 with filesystem.open_input_stream(name, compression=None) as stream:
                     head = chunk = stream.read(n)
-                    while chunk and b"\n" not in chunk:
+                    while chunk and b"\n" not in head.lstrip(b"\r\n"):
                         chunk = stream.read(n)
                         head += chunk
                 heads.append(head)
@@ -142,19 +151,61 @@ def _range_reader(n: int):
     return read
 
 
-def profile_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """One row per file: format, encoding, header and delimiter."""
-    encoded = file_heads(spark, path, glob=glob).select(
-        "path",
-        "uri",
-        "length",
-        magic_hex(F.col("content")).alias("magic"),
-        file_format(F.col("content")).alias("format"),
-        file_encoding(F.col("content")).alias("encoding"),
-        "content",
+def _unpacked(batches):
+    """Heads of compressed files as the heads of what is in them."""
+    import zlib
+
+    for batch in batches:
+        heads = []
+        for head in batch["content"]:
+            try:
+                heads.append(zlib.decompressobj(31).decompress(head, 16 * HEAD_BYTES))
+            except zlib.error:
+                heads.append(None)
+        yield batch.assign(content=heads)
+
+
+def line_facts(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """``(uri, utf8, open_quote)`` of every file with a line: do all its lines decode as UTF-8, and does
+    a quoted field stay open at the end of one?
+
+    A quote opens a field only at its start, whichever of the delimiters parts the fields. The first line
+    that leaves one open begins outside quotes, so it is judged rightly; a line taken wrongly for one
+    costs splitting, not rows. One scan; files are counted per task before the shuffle.
+    """
+    reader = spark.read.option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    line = F.col("value")
+    start = "(^\ufeff?|[" + "".join(DELIMITERS + RARE_DELIMITERS) + "])"
+    latin = F.decode(line.cast("binary"), LATIN1)
+    left_open = F.regexp_replace(latin, start + _QUOTED, "$1").rlike(start + '"')
+    return (
+        reader.text(path)
+        .select(F.col("_metadata.file_path").alias("uri"), F.is_valid_utf8(line).alias("valid"), (line.contains('"') & left_open).alias("left"))
+        .groupBy("uri")
+        .agg(F.bool_and("valid").alias("utf8"), F.bool_or("left").alias("open_quote"))
     )
+
+
+def profile_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """One row per file: format, encoding, header, delimiter, and whether a quote spans lines.
+
+    ``format`` is what the leading bytes say; ``binary`` if there is a zero byte and no other reason for
+    it. A compressed file is judged by what is in it, so is a compressed one's ``inner`` format.
+    """
+    heads = file_heads(spark, path, glob=glob).withColumn("format", file_format(F.col("content")))
+    packed = heads.where(F.col("format") == "gzip").mapInPandas(_unpacked, heads.schema)
+    heads = heads.where(F.col("format") != "gzip").unionByName(packed)
+    inner = F.when(F.col("format") == "gzip", file_format(F.col("content"))).otherwise(F.col("format"))
+    zero = F.instr(F.decode("content", LATIN1), "\0") > 0
+    heads = heads.withColumn("inner", F.when(F.col("content").isNull(), "binary").when((inner == "unknown") & zero, "binary").otherwise(inner))
+    facts = line_facts(spark, path, glob)
+    encoding = F.when(F.col("inner") == "utf16", UTF16).when(F.coalesce("utf8", F.lit(True)), UTF8).otherwise(LATIN1)
     return (
-        encoded.withColumn("header", header_line(F.col("content"), F.col("encoding")))
+        heads.join(facts, "uri", "left")
+        .select("path", "uri", "length", magic_hex(F.col("content")).alias("magic"), "format", "inner", encoding.alias("encoding"), F.coalesce("open_quote", F.lit(False)).alias("open_quote"), "content")
+        .withColumn("header", header_line(F.col("content"), F.col("encoding")))
         .withColumn("delimiter", header_delimiter(F.col("header")))
         .drop("content")
     )

@@ -146,6 +146,8 @@ ORACLES: dict[str, str] = {
     "transform_keep_nan": f"{_KEEP_NAN} {_transformed('kept')}",
     "transform_conformed": f"{_CONFORMED} {_transformed('kept')}",
     "union_sources": f"WITH {BOOKS} SELECT * FROM books",
+    "union_single": WEB,
+    "enrich_partial": f"WITH {BOOKS} SELECT title, rating, source, {_LABEL} AS rating_label FROM books",
     "clean": f"""{_DISTINCT} SELECT title, coalesce(price, 0.0::DOUBLE) AS price,
         coalesce(trim(availability, ' '), 'Unknown') AS availability, rating, source FROM kept""",
     "normalize": f"""WITH {BOOKS} SELECT trim(title, ' ') AS title, price, trim(availability, ' ') AS availability,
@@ -170,7 +172,7 @@ ORACLES: dict[str, str] = {
     "rename_columns": "SELECT p_name AS title, p_brand AS availability, p_size AS rating, p_partkey AS isbn FROM part",
     "conform_schema": f"""WITH {NUMBERS} SELECT
         CASE WHEN event_id % 4 <> 0 THEN CAST(event_id AS VARCHAR) ELSE '' END AS title, '' AS availability,
-        {_COERCED} AS price, CAST(event_id % 6 AS DOUBLE) AS rating, 'unknown' AS source FROM numbers""",
+        {_COERCED} AS price, CAST(event_id % 6 AS DOUBLE) AS rating, '' AS source FROM numbers""",
     "coerce_numeric": f"WITH {NUMBERS} SELECT event_id, raw_value, {_COERCED} AS value FROM numbers",
     "fill_text": f"""WITH {BOOKS} SELECT coalesce(title, '') AS title, price, coalesce(availability, '') AS availability,
         rating, coalesce(source, 'unknown') AS source FROM books""",
@@ -263,9 +265,10 @@ ORACLES: dict[str, str] = {
     "catalogue_walk": f"""WITH {PRODUCTS} SELECT {_page_url('(page - page % 8)')} AS start_url,
         CAST(page % 8 + 1 AS INTEGER) AS depth, title, price, availability, rating, source
         FROM products WHERE reason IS NULL AND page % 8 < 5""",
+    "site_walk": f"""WITH {PRODUCTS} SELECT DISTINCT {_page_url('(page - page % 8)')} AS start_url,
+        CAST(page % 8 + 1 AS INTEGER) AS depth, {_page_url('page')} AS url FROM products""",
     # relations and documents
-    "src_sql": """SELECT c_custkey AS id, c_name, c_mktsegment, 'sql' AS source FROM customer
-        WHERE c_acctbal > 0""",
+    "src_sql": """SELECT c_custkey AS id, c_name, c_mktsegment, 'sql' AS source FROM customer""",
     "json_people": f"WITH {PEOPLE} SELECT * FROM people",
     "json_messages": f"""WITH {PEOPLE} SELECT c_custkey,
         name || ' is currently in space flying on the ' || craft || '! {GREETING}' AS message FROM people""",
@@ -275,22 +278,27 @@ ORACLES: dict[str, str] = {
         CASE doc_id % 8 WHEN 0 THEN '504b' WHEN 1 THEN 'efbb' WHEN 2 THEN 'fffe' WHEN 3 THEN 'feff' WHEN 4 THEN '1f8b'
         WHEN 5 THEN '203c' WHEN 6 THEN '7365' ELSE lower(hex(encode('#' || substring(text, 1, 1))))[1:4] END AS magic
         FROM documents""",
-    "file_encoding": "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'ISO-8859-1' ELSE 'UTF-8' END AS encoding FROM documents",
-    "malformed_bytes": """SELECT doc_id, CAST(CASE doc_id % 3 WHEN 0 THEN 5 + strlen(text) WHEN 1 THEN 8802 + length(text)
-        ELSE length(text) END AS INTEGER) AS n_chars, doc_id % 3 = 1 OR (doc_id % 3 = 2 AND contains(text, '�')) AS replaced FROM documents""",
-    "file_delimiter": """SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN ',' WHEN 1 THEN ';' WHEN 2 THEN chr(9)
-        WHEN 3 THEN '|' ELSE ',' END AS delimiter FROM customer""",
+    "file_encoding": "SELECT doc_id, CASE WHEN doc_id % 3 < 2 THEN 'ISO-8859-1' ELSE 'UTF-8' END AS encoding FROM documents",
+    "malformed_bytes": """SELECT doc_id, CAST(CASE doc_id % 3 WHEN 0 THEN 5 + strlen(text) WHEN 1 THEN 8802 + strlen(text)
+        ELSE length(text) END AS INTEGER) AS n_chars, doc_id % 3 = 2 AND contains(text, '�') AS replaced FROM documents""",
+    "file_delimiter": """SELECT c_custkey, CASE c_custkey % 7 WHEN 0 THEN ',' WHEN 1 THEN ';' WHEN 2 THEN chr(9)
+        WHEN 3 THEN '|' WHEN 5 THEN ' ' WHEN 6 THEN ':' ELSE ',' END AS delimiter FROM customer""",
     "src_csv": """SELECT p_name || ' ' || p_brand || ' é' || CASE WHEN p_partkey % 3 = 0 THEN chr(10) ELSE ', ' END || '''"q"' AS title,
         CAST(round(p_retailprice - 900, 2) AS VARCHAR) AS price, CAST(p_partkey AS VARCHAR) AS part, 'csv' AS source FROM part""",
+    "csv_late_latin1": """SELECT CAST(p_partkey AS VARCHAR) AS part,
+        CASE WHEN p_partkey % 190 = 189 THEN 'café' ELSE 'tea' END AS drink FROM part""",
+    "csv_formats": "SELECT CAST(p_partkey AS VARCHAR) AS part, p_name || ' é' AS name, 'csv' AS source FROM part",
     "csv_bad_rows": _RAGGED,
     "src_zip_csv": """SELECT CAST(p_partkey AS VARCHAR) AS part, p_name || ' ' || p_brand AS title,
         CAST(round(p_retailprice - 900, 2) AS VARCHAR) AS price, CAST(NULL AS VARCHAR) AS isbn, 'csv' AS source FROM part""",
     # sinks
     "sink_parquet_roundtrip": f"{_DISTINCT} {_transformed('kept')}",
     "sink_observed_count": f"{_DISTINCT} SELECT count(*) AS n_stored, count(*) AS n_observed FROM kept",
-    "sink_inventory": f"""{_DISTINCT} SELECT lower(trim(source, ' ')) AS source, count(*) AS n_rows, true AS has_files
+    "sink_inventory": f"""{_DISTINCT} SELECT lower(trim(source, ' ')) AS source, count(*) AS n_rows, true AS files_agree
         FROM kept GROUP BY 1""",
-    "sink_listing": "SELECT DISTINCT 'source=web' AS prefix FROM part",
+    "sink_listing": f"""{_DISTINCT} SELECT DISTINCT 'source=' || lower(trim(source, ' ')) AS prefix, '' AS asked FROM kept
+        UNION ALL SELECT DISTINCT 'source=web' AS prefix, 'source=web/' AS asked FROM part""",
+    "sink_first_keys": f"{_DISTINCT} SELECT min('source=' || lower(trim(source, ' '))) AS prefix FROM kept",
     "sink_csv_roundtrip": f"WITH {BOOKS} SELECT title, availability, price, rating, source FROM books",
     "etl_end_to_end": f"""
 WITH {PRODUCTS}, joined AS (

@@ -54,6 +54,12 @@ def union_sources(spark, sf_dir):
     return R.books(spark, sf_dir)
 
 
+@query
+def union_single(spark, sf_dir):
+    """One source alone is its own union."""
+    return rows.union_sources([R.web_rows(spark, sf_dir)])
+
+
 @query
 def clean(spark, sf_dir):
     return catalogue.clean(R.books(spark, sf_dir))
@@ -69,6 +75,12 @@ def enrich(spark, sf_dir):
     return catalogue.enrich(R.books(spark, sf_dir))
 
 
+@query
+def enrich_partial(spark, sf_dir):
+    """What a missing column would give is not derived."""
+    return catalogue.enrich(R.books(spark, sf_dir).drop("price", "availability"))
+
+
 # --- duplicates ---------------------------------------------------------------------------
 
 
@@ -381,6 +393,14 @@ def catalogue_walk(spark, sf_dir):
     return walked.join(records, "url").select("start_url", "depth", "title", "price", "availability", "rating", "source")
 
 
+@query
+def site_walk(spark, sf_dir):
+    """Each shop walked to its end, however many pages that takes."""
+    linked = pages.with_next_url(R.catalogue_pages(spark, sf_dir), R.CATALOGUE_URL)
+    starts = linked.where(F.col("page") % R.PAGES_PER_SHOP == 0)
+    return pages.walk_pages(linked, starts, max_pages=None)
+
+
 # --- relations and documents --------------------------------------------------------------
 
 
@@ -388,7 +408,7 @@ def catalogue_walk(spark, sf_dir):
 def src_sql(spark, sf_dir):
     return rel.read_sql(
         spark,
-        "SELECT c_custkey AS id, c_name, c_mktsegment FROM {customer} WHERE c_acctbal > 0",
+        "SELECT c_custkey AS id, c_name, c_mktsegment FROM {customer}",
         customer=R.table(spark, sf_dir, "customer"),
     )
 
@@ -450,6 +470,27 @@ def src_csv(spark, sf_dir):
     return delimited.read_csv_auto(spark, root, "*.csv")
 
 
+@query
+def csv_late_latin1(spark, sf_dir):
+    """Files whose only letters beyond ASCII come far behind their beginning."""
+    root = staging_path(spark, "late")
+    parts = R.table(spark, sf_dir, "part").repartitionByRange(2, "p_partkey").sortWithinPartitions("p_partkey")
+    late = F.when(F.col("p_partkey") % 190 == 189, F.lit("café")).otherwise(F.lit("tea"))
+    sinks.write_csv(parts.select(F.col("p_partkey").alias("part"), "p_name", "p_type", late.alias("drink")), root, "ISO-8859-1")
+    return delimited.read_csv_auto(spark, root, "*.csv").select("part", "drink")
+
+
+@query
+def csv_formats(spark, sf_dir):
+    """One table in UTF-8, UTF-16 and compressed files."""
+    root = staging_path(spark, "formats")
+    parts = R.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("part"), F.concat("p_name", F.lit(" é")).alias("name"))
+    for kind, options in enumerate(({}, {"encoding": "UTF-16"}, {"compression": "gzip"})):
+        some = parts.where(F.col("part") % 3 == kind)
+        some.write.option("header", True).options(**options).csv(f"{root}/{kind}")
+    return delimited.read_csv_auto(spark, root, "*.csv*")
+
+
 @query
 def csv_bad_rows(spark, sf_dir):
     path = staging_path(spark, "lines")
@@ -485,16 +526,29 @@ def sink_observed_count(spark, sf_dir):
 
 @query
 def sink_inventory(spark, sf_dir):
-    dataset = _written(spark, sf_dir)[1]
-    return sinks.inventory(dataset).select("source", "n_rows", (F.col("n_files") > 0).alias("has_files"))
+    """Files and rows per partition, the files held against the listing."""
+    receipt, dataset = _written(spark, sf_dir)
+    listed = sinks.list_objects(spark, receipt.path).groupBy(F.regexp_extract("key", "^source=([^/]+)/", 1).alias("source")).agg(F.count(F.lit(1)).alias("n_listed"))
+    both = sinks.inventory(dataset).join(listed, "source", "full")
+    return both.select("source", "n_rows", F.col("n_files").eqNullSafe(F.col("n_listed")).alias("files_agree"))
 
 
 @query
 def sink_listing(spark, sf_dir):
-    """Listed keys per partition prefix."""
+    """Partitions of all listed keys, and of those below one prefix."""
+    receipt, _ = _written(spark, sf_dir)
+    prefix = F.regexp_extract("key", "^(source=[^/]+)/", 1).alias("prefix")
+    every = sinks.list_objects(spark, receipt.path).select(prefix, F.lit("").alias("asked"))
+    web = sinks.list_objects(spark, receipt.path, "source=web/").select(prefix, F.lit("source=web/").alias("asked"))
+    return every.unionByName(web).distinct()
+
+
+@query
+def sink_first_keys(spark, sf_dir):
+    """The first key in order lies in the first partition."""
     receipt, _ = _written(spark, sf_dir)
-    web = sinks.list_objects(spark, receipt.path, "source=web/")
-    return web.select(F.regexp_extract("key", "^(source=[^/]+)/", 1).alias("prefix")).distinct()
+    first = sinks.list_objects(spark, receipt.path, first=1)
+    return first.select(F.regexp_extract("key", "^(source=[^/]+)/", 1).alias("prefix"))
 
 
 @query

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from millrace.operators.rows import union_sources
 
@@ -11,15 +11,8 @@ PRODUCTS_PER_PAGE = 20
 PAGES_PER_SHOP = 8
 
 
-_schemas: dict[str, T.StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. Its schema is read from the files once; stating it later saves that job."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def part_title() -> Column:
@@ -254,7 +247,7 @@ def encoded_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def header_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Header lines with each delimiter, a name with a quoted comma among them."""
-    sep = F.get(F.array(F.lit(","), F.lit(";"), F.lit("\t"), F.lit("|"), F.lit("")), (F.col("c_custkey") % 5).cast("int"))
+    sep = F.get(F.array(*[F.lit(d) for d in (",", ";", "\t", "|", "", " ", ":")]), (F.col("c_custkey") % 7).cast("int"))
     return table(spark, sf_dir, "customer").select(
         "c_custkey",
         F.concat(F.lit('"a,,,b"'), sep, "c_name", sep, "c_mktsegment").alias("header"),

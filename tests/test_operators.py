@@ -185,6 +185,8 @@ def test_conform(spark):
     assert got.schema.fieldNames() == CANONICAL.fieldNames()
     assert [f.dataType for f in got.schema] == [f.dataType for f in CANONICAL]
     assert got.collect() == [("1", "", None, None, "unknown")]
+    # an absent column is blank, the default is for what is missing in one that is there
+    assert columns.conform(df.drop("source")).collect() == [("1", "", None, None, "")]
     assert math.isnan(columns.conform(df, missing="keep").head().price)
 
 
@@ -232,7 +234,7 @@ def test_all_rows(spark):
 
 def test_quality_report(spark):
     df = spark.createDataFrame(
-        [("Book A", 1, "1.5", "web"), ("", 6, "bad", "web"), (None, None, None, "ftp"), ("Book A", 5, "2", None)],
+        [("Atlas", 1, "1.5", "web"), ("", 6, "bad", "web"), (None, None, None, "ftp"), ("Atlas", 5, "2", None)],
         "title string, rating int, raw string, source string",
     )
     rules = [
@@ -250,8 +252,23 @@ def test_quality_report(spark):
         quality.quality_report(df, [])
 
 
-def test_quality_report_scans_once(spark, tmp_path):
+def test_quality_report_copies_no_rows(spark, tmp_path):
     spark.range(10).selectExpr("id", "cast(id as string) t").write.parquet(str(tmp_path / "t"))
     df = spark.read.parquet(str(tmp_path / "t"))
     report = quality.quality_report(df, [quality.unique("t"), quality.not_blank("t"), quality.in_range("id", 0, 9)])
-    assert plan(report).count("FileScan") == 1
+    # one scan for the plain rules, one for the key; "Expand" would copy every row for every key
+    assert plan(report).count("FileScan") == 2 and "Expand" not in plan(report)
+    two = quality.quality_report(df, [quality.unique("t"), quality.unique("t", "id")])
+    assert "Expand" not in plan(two)
+
+
+def test_above_fails_nan_like_ranges(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "x double")
+    report = quality.quality_report(df, [quality.above("x", 0), quality.in_range("x", 0, 9)])
+    assert [r.failed for r in report.collect()] == [2, 2]
+
+
+def test_null_filter_reaches_the_scan(spark, tmp_path):
+    spark.range(3).selectExpr("cast(id as string) title", "id").write.parquet(str(tmp_path / "t"))
+    pushed = plan(rows.drop_null(spark.read.parquet(str(tmp_path / "t"))))
+    assert "PushedFilters: [IsNotNull(title)]" in pushed
