@@ -97,4 +97,4 @@ def test_query_on_held_out_texts(spark):
     rows = [r for r in QUERIES["op8_toxicity"](spark, SF).collect() if r.held_out and r.doc_id in labels]
     right = sum(r.predicted == labels[r.doc_id] for r in rows)
     toxic = [r for r in rows if labels[r.doc_id]]
-    assert len(toxic) > 30 and right / len(rows) > 0.97 and sum(r.predicted for r in toxic) / len(toxic) > 0.85
+    assert len(toxic) > 30 and right / len(rows) > 0.98 and sum(r.predicted for r in toxic) / len(toxic) > 0.9
