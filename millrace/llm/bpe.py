@@ -9,8 +9,8 @@ kept), goes to shorter ones, and steps back where none fits; a place once given
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Callable, Iterator
+from itertools import chain, repeat
 
 import ahocorasick
 import numpy as np
@@ -21,9 +21,25 @@ from pyspark.sql import functions as F
 
 from millrace.llm import flat
 
-#: Pieces of text whose ids a worker keeps at once, and the longest that it keeps.
+#: Pieces of text whose ids a worker keeps at once, the longest that it keeps, and the pairs of tokens.
 KEPT_PIECES = 300_000
 KEPT_LENGTH = 64
+KEPT_PAIRS = 1_000_000
+
+
+class _Pieces(dict):
+    """Ids of pieces, made when they are first asked for."""
+
+    def __init__(self, encode: Callable[[bytes], list[int]]):
+        self.encode = encode
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        found = tuple(self.encode(piece.encode()))
+        if len(piece) <= KEPT_LENGTH:
+            if len(self) >= KEPT_PIECES:
+                self.clear()
+            self[piece] = found
+        return found
 
 
 class Encoder:
@@ -34,16 +50,26 @@ class Encoder:
         self.token = {i: t for t, i in ranks.items()}
         self.above = max(self.token) + 1
         self.size = {i: len(t) for t, i in ranks.items()}
-        self.matcher = ahocorasick.Automaton()
+        self.longest_token = max(map(len, ranks))
+        #: The automaton's trie knows how far a text follows some token; ``begun``, the longest token up to there.
+        matcher = ahocorasick.Automaton()
         for t, i in ranks.items():
-            self.matcher.add_word(t.decode("latin-1"), i)
-        self.matcher.make_automaton()
+            matcher.add_word(t.decode("latin-1"), i)
+        matcher.make_automaton()
+        self.follow = matcher.longest_prefix
+        self.begun: dict[str, int] = {}
+        for t in map(bytes.decode, ranks, repeat("latin-1")):
+            for n in range(1, len(t) + 1):
+                own = ranks.get(t[:n].encode("latin-1"))
+                self.begun[t[:n]] = self.begun[t[: n - 1]] if own is None else own
         self.merged: dict[tuple[int, int], int] = {}
         self.parts: dict[int, tuple[int, int]] = {}
         self.compatible: dict[tuple[int, int], bool] = {}
         #: The longest token that begins a token.
         self.shorter = {i: next((ranks[t[:n]] for n in range(len(t) - 1, 0, -1) if t[:n] in ranks), None) for t, i in ranks.items()}
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.pieces = _Pieces(self.encode_piece)
+        #: Ids of a piece of text.
+        self.ids = self.pieces.__getitem__
         for t, i in sorted(ranks.items(), key=lambda x: x[1]):
             self.parts[i] = (i, i)
             left = self.shorter[i]
@@ -86,14 +112,13 @@ class Encoder:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        longest = [0] * len(piece)
-        size = self.size
-        for end, i in self.matcher.iter(piece.decode("latin-1")):
-            longest[end + 1 - size[i]] = i
+        text, reach, follow, begun = piece.decode("latin-1"), self.longest_token, self.follow, self.begun
         tokens: list[int] = []
         given_up = bytearray(len(piece) + 1)
-        compatible, shorter = self.compatible, self.shorter
-        at, token = 0, longest[0]
+        size, compatible, shorter = self.size, self.compatible, self.shorter
+        if len(compatible) > KEPT_PAIRS:
+            compatible.clear()
+        at, token = 0, begun[text[: follow(text[:reach])]]
         while at < len(piece):
             last = tokens[-1] if tokens else None
             while token is not None:
@@ -110,7 +135,7 @@ class Encoder:
                 tokens.append(token)
                 at += size[token]
                 if at < len(piece):
-                    token = longest[at]
+                    token = begun[text[at : at + follow(text[at : at + reach])]]
             else:
                 given_up[at] = 1
                 tokens.pop()
@@ -118,17 +143,6 @@ class Encoder:
                 token = shorter[last]
         return tokens
 
-    def ids(self, piece: str) -> tuple[int, ...]:
-        found = self.pieces.get(piece)
-        if found is None:
-            found = tuple(self.encode_piece(piece.encode()))
-            if len(piece) <= KEPT_LENGTH:
-                if len(self.pieces) >= KEPT_PIECES:
-                    self.pieces.clear()
-                    self.compatible.clear()
-                self.pieces[piece] = found
-        return found
-
 
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
