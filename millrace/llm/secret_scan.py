@@ -46,15 +46,16 @@ ENCODINGS = {
     "base64url": _UPPER + _LOWER + _DIGITS + "-_",
     "mixed": _UPPER + _LOWER + _DIGITS + "+/-_",
 }
-#: Repeats among ordinary tokens before the corpus has been seen, as if from so many pairs of characters:
-#: twice what a uniform alphabet has.
-PRIOR_PAIRS, PRIOR_EXCESS = 1000.0, 2.0
+#: Before the corpus has been seen, as if from so many pairs of characters: equal ones among ordinary tokens,
+#: as in prose, but half as many again as in a uniform alphabet at least.
+PRIOR_PAIRS, PRIOR_EQUAL, PRIOR_EXCESS = 1000.0, 0.06, 1.5
 
 #: Lengths of a band: from a power of the square root of two to the next.
 _BANDS_PER_DOUBLING = 2
 #: p-values are sorted by steps of a twentieth of a power of ten, down to 10^-40.
 _STEPS, _LAST_STEP = 20, 800
 _BLOCK = 256
+_STRETCH = 4096
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -117,6 +118,24 @@ def _none() -> Column:
     return F.array().cast(_SPANS)
 
 
+def outside(tokens: Column, spans: Column, length: Column) -> Column:
+    """The tokens that no span meets; either is looked up by the stretches of text it touches, not all by all."""
+    last = F.floor(F.coalesce(length, F.lit(0)) / _STRETCH).cast("int")
+    stretches = F.transform(
+        F.sequence(F.lit(0), last), lambda i: F.filter(spans, lambda b: (b["end"] > i * _STRETCH) & (b["start"] < (i + 1) * _STRETCH))
+    )
+
+    def free(by: Column) -> Column:
+        def met(t: Column) -> Column:
+            first = F.floor(t["start"] / _STRETCH).cast("int")
+            touched = F.slice(by, first + 1, F.floor((t["end"] - 1) / _STRETCH).cast("int") - first + 1)
+            return F.exists(touched, lambda here: F.exists(here, lambda b: (t["start"] < b["end"]) & (b["start"] < t["end"])))
+
+        return F.filter(tokens, lambda t: ~met(t))
+
+    return F.when((F.size(tokens) == 0) | (F.size(spans) == 0), tokens).otherwise(let(stretches, free))
+
+
 def encoding_of(token: Column) -> Column:
     out = None
     for name, alphabet in ENCODINGS.items():
@@ -271,14 +290,12 @@ def secrets(df: DataFrame, min_length: int = 20, alpha: float = 0.01, q: float =
     rest = df.columns
     found = whole.select(*(quoted(c) for c in rest), F.concat(assigned, access, hexes).alias(base), runs.alias(tokens))
 
-    def outside(t: Column) -> Column:
-        return ~F.exists(base, lambda b: (t["start"] < b["end"]) & (b["start"] < t["end"]))
-
     def judged(t: Column) -> Column:
         token = F.regexp_replace(t["value"], "=+$", "")
         return let(token, lambda v: F.struct(t["start"].alias("start"), t["end"].alias("end"), F.when((F.length(v) >= min_length) & ~v.contains("="), _battery(v)).alias("test")))
 
-    clear = F.filter(F.transform(F.filter(tokens, outside), judged), lambda t: t["test"].isNotNull())
+    long = F.filter(tokens, lambda t: t["end"] - t["start"] >= min_length)
+    clear = F.filter(F.transform(outside(long, F.col(base), F.char_length(quoted(text_col))), judged), lambda t: t["test"].isNotNull())
     bare = F.transform(base, lambda b: F.struct(b["kind"].alias("kind"), b["start"].alias("start"), b["end"].alias("end")))
     found = materialize(found.select(*(quoted(c) for c in rest), bare.alias(base), clear.alias(tested)), "candidates")
 
@@ -287,10 +304,10 @@ def secrets(df: DataFrame, min_length: int = 20, alpha: float = 0.01, q: float =
     pairs = F.col("n").cast("double") * (F.col("n") - 1)
     refused = each.where(F.col("p_random") < alpha)
     repeats = refused.groupBy("encoding").agg(F.sum(F.col("square") - F.col("n")).cast("double").alias("same"), F.sum(pairs).alias("pairs"))
-    excess = dict.fromkeys(ENCODINGS, PRIOR_EXCESS)
+    excess = {name: max(PRIOR_EXCESS, PRIOR_EQUAL * len(letters)) for name, letters in ENCODINGS.items()}
     for r in repeats.collect():
-        k = len(ENCODINGS[r.encoding])
-        excess[r.encoding] = max(1.0, k * (r.same + PRIOR_PAIRS * PRIOR_EXCESS / k) / (r.pairs + PRIOR_PAIRS))
+        seen = r.same * len(ENCODINGS[r.encoding])
+        excess[r.encoding] = max(1.0, (seen + PRIOR_PAIRS * excess[r.encoding]) / (r.pairs + PRIOR_PAIRS))
     steps = each.select(_band(F.col("n")).alias("band"), _step(_ordinary(F.struct("encoding", "n", "k", "square"), excess)).alias("step"))
     counts = steps.groupBy("band", "step").agg(F.count("*").alias("here"))
     smaller = Window.partitionBy("band").orderBy(F.desc("step"))
