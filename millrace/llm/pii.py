@@ -9,11 +9,11 @@ different.
 kind     validated by                                          permuted
 =======  ====================================================  ===========================================
 email    its grammar                                           letters and digits before the ``@``
-ip       four numbers up to 255                                the 32 bits
+ip       four numbers up to 255, no zeros before                the 32 bits
 date     a day of the years 1800 to 2199 (ISO, or day and      the day within those 400 years
          month in either order before the year)
 ssn      issued ranges of its three groups                     the issued ranges
-phone    ``+``, country code, 7 to 12 more digits              digits after the country code
+phone    ``+``, country code, 8 to 15 digits in all            digits after the country code, however spaced
 card     13 to 19 digits with a right Luhn digit               all but the first digit and the Luhn digit,
                                                                which is made right again
 =======  ====================================================  ===========================================
@@ -27,13 +27,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import flat
+from millrace.llm.let import let
 
 ROUNDS = 8
 KINDS = ("email", "ip", "date", "ssn", "phone", "card")
 
 _PATTERNS = {
-    "email": r"(?<![\w.%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
-    "ip": r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)",
+    "email": r"(?<![\w.%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+    "ip": r"(?<![\d.])(?:0|[1-9]\d{0,2})(?:\.(?:0|[1-9]\d{0,2})){3}(?!\.?\d)",
     "date": r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{2}([./])\d{2}\1\d{4})(?![./-]?\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?!-?\d)",
     "phone": r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)",
@@ -45,14 +46,16 @@ PATTERN = "|".join(p.replace("([./])", "(?<cut>[./])").replace(r"\1", r"\k<cut>"
 #: Days from 1800-01-01 to 2199-12-31: the calendar's period of 400 years, 146,097 = 189 * 773.
 _FIRST_DAY, _DAYS = "1800-01-01", (189, 773)
 _SSN = (898, 99 * 9999)
+#: Country calling codes have one digit, or two if they start so; all others have three.
+_COUNTRY = "^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 
 
 def _digest(key: str, kind: str, i: Column, value: Column) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), i.cast("string"), value.cast("string")), 256)
 
 
-def _mod_feistel(key: str, kind: str, left: Column, right: Column, sizes: tuple[int, int]) -> Column:
-    """A permutation of pairs below ``sizes``: either half in turn moves by a hash of the other."""
+def _mod_feistel(key: str, kind: str, left: Column, right: Column, sizes: tuple[int, int], written: Callable[[Column], Column]) -> Column:
+    """``written`` of a permutation of pairs below ``sizes``: either half in turn moves by a hash of the other."""
 
     def turn(pair: Column, i: Column) -> Column:
         def moved(half: Column, other: Column, size: int) -> Column:
@@ -66,31 +69,33 @@ def _mod_feistel(key: str, kind: str, left: Column, right: Column, sizes: tuple[
         )
 
     start = F.struct(left.cast("long").alias("l"), right.cast("long").alias("r"))
-    return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, turn)
+    return let(F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, turn), written)
 
 
 def _text_feistel(key: str, kind: str, value: Column) -> Column:
     """A permutation of strings that keeps lengths and which characters are digits, a-z, A-Z or others."""
 
-    def moved(half: Column, digest: Column) -> Column:
-        def letter(i: Column) -> Column:
-            c = F.substring(half, i, F.lit(1))
-            n = F.conv(F.substring(digest, (i - 1) % 16 * 4 + 1, F.lit(4)), 16, 10).cast("int")
+    def moved(letters: Column, digest: Column) -> Column:
+        def letter(c: Column, i: Column) -> Column:
+            n = F.conv(F.substring(digest, i % 16 * 4 + 1, F.lit(4)), 16, 10).cast("int")
 
             def within(first: str, last: str) -> Column:
                 return F.char(F.lit(ord(first)) + (F.ascii(c) - ord(first) + n) % (ord(last) - ord(first) + 1))
 
             return F.when(c.between("0", "9"), within("0", "9")).when(c.between("a", "z"), within("a", "z")).when(c.between("A", "Z"), within("A", "Z")).otherwise(c)
 
-        places = F.filter(F.sequence(F.lit(1), F.greatest(F.length(half), F.lit(1))), lambda i: i <= F.length(half))
-        return F.array_join(F.transform(places, letter), "")
+        return F.transform(letters, letter)
 
     def turn(pair: Column, i: Column) -> Column:
-        return F.struct(pair["r"].alias("l"), moved(pair["l"], _digest(key, kind, i, pair["r"])).alias("r"))
+        new = let(_digest(key, kind, i, F.array_join(pair["r"], "")), lambda d: moved(pair["l"], d))
+        return F.struct(pair["r"].alias("l"), new.alias("r"))
 
-    middle = F.floor(F.length(value) / 2).cast("int")
-    start = F.struct(F.substring(value, F.lit(1), middle).alias("l"), F.substring(value, middle + 1, F.length(value)).alias("r"))
-    return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, turn, lambda p: F.concat(p["l"], p["r"]))
+    def halves(letters: Column) -> Column:
+        middle = F.floor(F.size(letters) / 2).cast("int")
+        start = F.struct(F.slice(letters, F.lit(1), middle).alias("l"), F.slice(letters, middle + 1, F.size(letters)).alias("r"))
+        return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, turn, lambda p: F.array_join(F.concat(p["l"], p["r"]), ""))
+
+    return let(F.filter(F.split(value, ""), lambda c: c != ""), halves)
 
 
 def _digits(value: Column) -> Column:
@@ -100,19 +105,25 @@ def _digits(value: Column) -> Column:
 def _into(shape: Column, digits: Column) -> Column:
     """``shape`` with its digits replaced by ``digits``, one by one."""
 
-    def letter(c: Column, i: Column) -> Column:
-        before = F.length(_digits(F.substring(shape, F.lit(1), i)))
-        return F.when(c.between("0", "9"), F.substring(digits, before + 1, F.lit(1))).otherwise(c)
+    def filled(x: Column) -> Column:
+        def letter(c: Column, i: Column) -> Column:
+            before = F.size(F.filter(F.slice(x["shape"], F.lit(1), i), lambda b: b.between("0", "9")))
+            return F.when(c.between("0", "9"), F.get(x["digits"], before)).otherwise(c)
+
+        return F.array_join(F.transform(x["shape"], letter), "")
 
-    return F.array_join(F.transform(F.split(shape, ""), letter), "")
+    return let(F.struct(F.split(shape, "").alias("shape"), F.split(digits, "").alias("digits")), filled)
 
 
 def _luhn(digits: Column) -> Column:
-    def worth(i: Column) -> Column:
-        d = F.substring(digits, F.length(digits) - i + 1, F.lit(1)).cast("int") * F.when(i % 2 == 0, 2).otherwise(1)
-        return d - F.when(d > 9, 9).otherwise(0)
+    def total(letters: Column) -> Column:
+        def add(sum_: Column, d: Column) -> Column:
+            return sum_ + d - F.when(d > 9, 9).otherwise(0)
 
-    return F.aggregate(F.transform(F.sequence(F.lit(1), F.length(digits)), worth), F.lit(0), lambda a, b: a + b)
+        worth = F.transform(F.reverse(letters), lambda c, i: c.cast("int") * F.when(i % 2 == 1, 2).otherwise(1))
+        return F.aggregate(worth, F.lit(0), add)
+
+    return let(F.split(digits, ""), total)
 
 
 def _number(value: Column, cut: str, i: int) -> Column:
@@ -150,9 +161,12 @@ def kind_of(value: Column) -> Column:
 
 def _ip(key: str, value: Column) -> Column:
     o = [_number(value, r"\.", i) for i in (1, 2, 3, 4)]
-    pair = _mod_feistel(key, "ip", o[0] * 256 + o[1], o[2] * 256 + o[3], (65536, 65536))
-    parts = [F.floor(pair["l"] / 256), pair["l"] % 256, F.floor(pair["r"] / 256), pair["r"] % 256]
-    return F.concat_ws(".", *(p.cast("string") for p in parts))
+
+    def written(pair: Column) -> Column:
+        parts = [F.floor(pair["l"] / 256), pair["l"] % 256, F.floor(pair["r"] / 256), pair["r"] % 256]
+        return F.concat_ws(".", *(p.cast("string") for p in parts))
+
+    return _mod_feistel(key, "ip", o[0] * 256 + o[1], o[2] * 256 + o[3], (65536, 65536), written)
 
 
 def _date(key: str, value: Column) -> Column:
@@ -160,8 +174,11 @@ def _date(key: str, value: Column) -> Column:
 
     def written(f: str) -> Column:
         day = F.date_diff(F.try_to_timestamp(value, F.lit(f)).cast("date"), first)
-        pair = _mod_feistel(key, "date", F.floor(day / _DAYS[1]), day % _DAYS[1], _DAYS)
-        return F.date_format(F.date_add(first, (pair["l"] * _DAYS[1] + pair["r"]).cast("int")), f)
+
+        def named(pair: Column) -> Column:
+            return F.date_format(F.date_add(first, (pair["l"] * _DAYS[1] + pair["r"]).cast("int")), f)
+
+        return let(day, lambda d: _mod_feistel(key, "date", F.floor(d / _DAYS[1]), d % _DAYS[1], _DAYS, named))
 
     kind, out = _date_format(value), None
     for f in ("yyyy-MM-dd", "dd.MM.yyyy", "MM.dd.yyyy", "dd/MM/yyyy", "MM/dd/yyyy"):
@@ -172,22 +189,34 @@ def _date(key: str, value: Column) -> Column:
 def _ssn(key: str, value: Column) -> Column:
     area, group, serial = (_number(value, "-", i) for i in (1, 2, 3))
     place = area - F.when(area > 666, 2).otherwise(1)
-    pair = _mod_feistel(key, "ssn", place, (group - 1) * 9999 + serial - 1, _SSN)
-    area = pair["l"] + F.when(pair["l"] >= 665, 2).otherwise(1)
-    return F.format_string("%03d-%02d-%04d", area, (F.floor(pair["r"] / 9999) + 1).cast("long"), pair["r"] % 9999 + 1)
+
+    def written(pair: Column) -> Column:
+        shown = pair["l"] + F.when(pair["l"] >= 665, 2).otherwise(1)
+        return F.format_string("%03d-%02d-%04d", shown, (F.floor(pair["r"] / 9999) + 1).cast("long"), pair["r"] % 9999 + 1)
+
+    return _mod_feistel(key, "ssn", place, (group - 1) * 9999 + serial - 1, _SSN, written)
 
 
 def _phone(key: str, value: Column) -> Column:
-    code = F.coalesce(F.nullif(F.regexp_extract(value, r"^\+\d{1,3}(?=[ .(-])", 0), F.lit("")), F.substring(value, 1, 2))
-    rest = F.substring(value, F.length(code) + 1, F.length(value))
-    return F.concat(code, _into(rest, _text_feistel(key, "phone", _digits(rest))))
+    """The country code is told by the digits alone, so spacing makes no other number of it."""
+
+    def made(digits: Column) -> Column:
+        code = F.regexp_extract(digits, _COUNTRY, 0)
+        rest = F.substring(digits, F.length(code) + 1, F.length(digits))
+        return _into(value, F.concat(code, _text_feistel(key, "phone", rest)))
+
+    return let(_digits(value), made)
 
 
 def _card(key: str, value: Column) -> Column:
-    digits = _digits(value)
-    body = F.concat(F.substring(digits, 1, 1), _text_feistel(key, "card", F.substring(digits, F.lit(2), F.length(digits) - 2)))
-    last = (10 - _luhn(F.concat(body, F.lit("0"))) % 10) % 10
-    return _into(value, F.concat(body, last.cast("string")))
+    def made(digits: Column) -> Column:
+        return F.concat(F.substring(digits, 1, 1), _text_feistel(key, "card", F.substring(digits, F.lit(2), F.length(digits) - 2)))
+
+    def checked(body: Column) -> Column:
+        last = (10 - _luhn(F.concat(body, F.lit("0"))) % 10) % 10
+        return _into(value, F.concat(body, last.cast("string")))
+
+    return let(let(_digits(value), made), checked)
 
 
 def _email(key: str, value: Column) -> Column:

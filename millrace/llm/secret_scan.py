@@ -12,13 +12,12 @@ are many and weak, long ones few and strong.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.llm import flat
+from millrace.llm.let import let
 from millrace.operators.columns import quoted
 from millrace.session import materialize
 
@@ -58,11 +57,6 @@ _BLOCK = 256
 _STRETCH = 4096
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` computed once, though ``body`` uses it often or in a lambda."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def before(lengths: Column) -> Column:
     """Sums of all earlier elements, by blocks: an array that grows by one in each step would be copied as often."""
 
