@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.functions import markup as M
 from millrace.functions.text import parse_money, rating_from_word, strip_ws
 from millrace.operators.columns import quoted
-from millrace.session import materialize, staging_path
+from millrace.session import materialize
 
 _RECORD = ("title", "price", "availability", "rating")
 
@@ -103,30 +103,94 @@ def walk_pages(
 
     The links are reduced to one narrow row per URL and written out once, so that pages are parsed
     once and a link that many walks share is an ordinary skewed join side, which adaptive execution
-    splits. Each step writes its pages; only walks that go on take part in the next, so no step's
-    plan or rows grow with the depth.
+    splits. A few steps are as many joins of one plan. Beyond that, jumps are joined with themselves:
+    a table of jumps of 1, 2, 3 and 4 pages gives those of 4, 8, 12 and 16, and so on, so that a walk of
+    ``n`` pages takes ``log4(n)`` tables, each written once. The walks are then put together from the
+    longest jumps down, in one plan whose rows are never more than the result's.
     """
     if max_pages is not None and max_pages < 1:
         raise ValueError("max_pages must be at least 1")
-    spark = links.sparkSession
     edges = link_edges(links, url, next_url)
-    path = staging_path(spark, "walks")
-    # a loop is met by holding every walk against a page of its own that moves up at depths 1, 2, 4, ...
-    going = starts.select(quoted(url).alias("start_url"), quoted(url).alias("_goal")).distinct().withColumn("_mark", F.lit(None).cast("string"))
-    depth = 0
-    while max_pages is None or depth < max_pages:
-        depth += 1
-        moved = follow(going, edges)
-        if max_pages is None:
-            moved = moved.where(~F.col("_at").eqNullSafe(F.col("_mark")))
-        mark = F.col("_at") if depth & (depth - 1) == 0 else F.col("_mark")
-        step = moved.select("start_url", F.lit(depth).alias("depth"), F.col("_at").alias("url"), "_next", mark.alias("_mark"))
-        step.write.mode("append").parquet(f"{path}/step={depth}")
-        step = spark.read.schema(step.schema).parquet(f"{path}/step={depth}")
-        going = step.where(F.col("_next").isNotNull()).select("start_url", F.col("_next").alias("_goal"), "_mark")
-        if going.isEmpty():
-            break
-    walked = spark.read.schema("start_url string, depth int, url string").option("recursiveFileLookup", "true").parquet(path)
-    if max_pages is None:
-        walked = walked.groupBy("start_url", "url").agg(F.min("depth").alias("depth")).select("start_url", "depth", "url")
-    return walked
+    first = starts.select(quoted(url).alias("start_url")).distinct()
+    if max_pages is not None and max_pages <= _FEW:
+        return _few_steps(first, edges, max_pages)
+    stored = edges.select(F.col("_at").alias("_stored"))
+    jump = edges.join(stored, F.col("_next") == F.col("_stored")).select("_at", F.col("_next").alias("_goal"))
+    walks = first.join(stored, F.col("start_url") == F.col("_stored")).select("start_url", F.lit(1).alias("depth"), F.col("start_url").alias("url"))
+    if max_pages is not None:
+        return _put_together(walks, _jump_tables(jump, max_pages - 1)[0], max_pages)
+    jump = materialize(jump, "jumps")
+    tables, endless = _jump_tables(jump, jump.count())
+    if endless is None:
+        return _put_together(walks, tables)
+    # What a jump longer than all links together reaches lies on a loop. Each loop is cut before its least
+    # page; a walk that comes to the cut goes once more round, and of a page met twice the least depth counts.
+    loops = materialize(endless.select(F.col("_g4").alias("_on")).distinct(), "loops")
+    around = jump.join(loops, F.col("_goal") == F.col("_on")).join(loops.select(F.col("_on").alias("_from")), F.col("_at") == F.col("_from"))
+    around = materialize(around.select("_at", "_goal"), "around")
+    least = _least_on_loop(around)
+    cut = materialize(around.join(least, F.col("_goal") == F.col("_least")).select(F.col("_at").alias("_cut"), "_goal"), "cuts")
+    tables, _ = _jump_tables(jump.join(cut.select("_cut"), F.col("_at") == F.col("_cut"), "left_anti"), None)
+    once = materialize(_put_together(walks, tables), "walks")
+    again = once.join(cut, F.col("url") == F.col("_cut")).select("start_url", (F.col("depth") + 1).alias("depth"), F.col("_goal").alias("url"))
+    both = once.unionByName(_put_together(again, tables))
+    return both.groupBy("start_url", "url").agg(F.min("depth").alias("depth")).select("start_url", "depth", "url")
+
+
+#: So many steps are as many joins of one plan.
+_FEW = 8
+
+
+def _few_steps(starts: DataFrame, edges: DataFrame, n: int) -> DataFrame:
+    walks = starts.select("start_url", F.array().cast("array<string>").alias("_path"), F.col("start_url").alias("_goal"))
+    for _ in range(n):
+        met = walks.join(edges, F.col("_goal") == F.col("_at"), "left")
+        path = F.when(F.col("_at").isNull(), F.col("_path")).otherwise(F.concat("_path", F.array("_at")))
+        walks = met.select("start_url", path.alias("_path"), F.col("_next").alias("_goal"))
+    return walks.select("start_url", F.posexplode("_path").alias("_i", "url")).select("start_url", (F.col("_i") + 1).alias("depth"), "url")
+
+
+def _jump_tables(jump: DataFrame, steps: int | None) -> tuple[list[DataFrame], DataFrame | None]:
+    """Tables ``_at, _g1.._g4`` of jumps by 1 to 4 times 1, 4, 16, ... pages, for walks of up to ``steps`` links.
+
+    They end when no walk is longer, if not before. Given back is also the last table if it still has
+    jumps by 4 times its length, which is then more than ``steps``.
+    """
+    tables: list[DataFrame] = []
+    while True:
+        table = jump.select("_at", F.col("_goal").alias("_g1"))
+        for i in (2, 3, 4):
+            onward = jump.select(F.col("_at").alias("_from"), F.col("_goal").alias(f"_g{i}"))
+            table = table.join(onward, F.col(f"_g{i - 1}") == F.col("_from"), "left").drop("_from")
+        table = materialize(table.select("_at", "_g1", "_g2", "_g3", "_g4"), "jumps")
+        tables.append(table)
+        jump = table.where(F.col("_g4").isNotNull()).select("_at", F.col("_g4").alias("_goal"))
+        if jump.isEmpty():
+            return tables, None
+        if steps is not None and 4 ** len(tables) > steps:
+            return tables, table.where(F.col("_g4").isNotNull())
+
+
+def _put_together(walks: DataFrame, tables: list[DataFrame], max_pages: int | None = None) -> DataFrame:
+    """All pages of ``walks`` (``start_url, depth, url``: where they begin), longest jumps first."""
+    for i, table in reversed(list(enumerate(tables))):
+        steps = [F.struct((F.col("depth") + n * 4**i).cast("int").alias("depth"), F.col(f"_g{n}" if n else "url").alias("url")) for n in range(4)]
+        # a walk is at most as long as the links are many, so depths of pages that are there fit
+        there = F.filter(F.array(*steps), lambda s: s["url"].isNotNull() & (F.lit(max_pages is None) | (s["depth"] <= (max_pages or 0))))
+        walks = walks.join(table, F.col("url") == F.col("_at"), "left").select("start_url", F.inline(there))
+    return walks
+
+
+def _least_on_loop(around: DataFrame) -> DataFrame:
+    """``_least``: the least page of each loop of ``around``, whose links are all on loops."""
+    # Jumps twice as long know the least page of twice as many; a loop is known when nothing changes.
+    jump = around.select("_at", "_goal", F.least("_at", "_goal").alias("_least"))
+    while True:
+        onward = jump.select(F.col("_at").alias("_from"), F.col("_goal").alias("_to"), F.col("_least").alias("_other"))
+        longer = jump.join(onward, F.col("_goal") == F.col("_from"))
+        changed = F.col("_other") < F.col("_least")
+        longer = longer.select("_at", F.col("_to").alias("_goal"), F.least("_least", "_other").alias("_least"), changed.alias("_changed"))
+        longer = materialize(longer, "loops")
+        if longer.where("_changed").isEmpty():
+            return longer.select("_least").distinct()
+        jump = longer.drop("_changed")

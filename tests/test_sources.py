@@ -1,4 +1,5 @@
 import io
+import random
 import zipfile
 
 import pytest
@@ -394,3 +395,48 @@ def test_walk_to_the_end(spark):
     want = [("u3", i - 2, f"u{i}") for i in range(3, 12)] + [("a", 1, "a"), ("a", 2, "b"), ("a", 3, "c"), ("a", 4, "d"), ("s", 1, "s")]
     assert got == sorted(want)
     assert pages.walk_pages(df, starts.limit(0), None).count() == 0
+
+
+def _walked_by_hand(links, starts, bound=None):
+    following = {}
+    for at, to in links:
+        if at is not None and (at not in following or (to is not None and (following[at] is None or to < following[at]))):
+            following[at] = to
+    out = []
+    for start in set(starts):
+        at, seen, depth = start, set(), 1
+        while at in following and (depth <= bound if bound else at not in seen):
+            seen.add(at)
+            out.append((start, depth, at))
+            at, depth = following[at], depth + 1
+    return sorted(out)
+
+
+@pytest.mark.parametrize("bound", [None, 3, 9, 40])
+def test_walks_over_random_links(spark, bound):
+    rng = random.Random(bound)
+    names = [f"p{i:03d}" for i in range(90)]
+    links = [(n, rng.choice([*names, "gone", None])) for n in names[:70]] + [("p001", "p002"), (None, "p001"), ("p080", "p080")]
+    links += [(f"q{i}", f"q{(i + 1) % 17}") for i in range(17)] + [("r", "q5"), ("r2", "r")]
+    starts = rng.sample(names, 40) + ["q3", "r2", "q16", "nowhere", "p080", "q3"]
+    df = spark.createDataFrame(links, "url string, next_url string")
+    begin = spark.createDataFrame([(s,) for s in starts], "url string")
+    got = values_of(pages.walk_pages(df, begin, bound), "start_url", "depth", "url")
+    assert got == _walked_by_hand(links, starts, bound)
+
+
+def test_deep_sites_take_few_jobs(spark):
+    n = 10_000
+    page = F.lit("http://site/")
+    links = spark.range(n).select(
+        F.concat(page, F.col("id").cast("string")).alias("url"), F.concat(page, (F.col("id") + 1).cast("string")).alias("next_url")
+    )
+    written = []
+    build = pages.materialize
+    try:
+        pages.materialize = lambda df, name: written.append(name) or build(df, name)
+        walked = pages.walk_pages(links, links.where("url IN ('http://site/0', 'http://site/9000')"), None)
+        assert walked.agg(F.count("*"), F.max("depth"), F.sum("depth")).first() == (11_000, n, sum(range(1, n + 1)) + sum(range(1, 1_001)))
+    finally:
+        pages.materialize = build
+    assert len(written) < 10
