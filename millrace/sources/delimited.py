@@ -16,7 +16,6 @@ import re
 import sys
 import zipfile
 from collections.abc import Iterator, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -25,9 +24,9 @@ from millrace.operators.columns import quoted, tag_source
 from millrace.operators.rows import union_sources
 from millrace.schemas import NA_TEXT
 from millrace.session import materialize
+from millrace.sources.lines import decoded, fields, is_blank_record, plain_lines, quoted_records
 from millrace.sources.probe import DELIMITERS, LATIN1, RARE_DELIMITERS, UTF8, UTF16, as_literal_path, profile_files
 
-_RAW = "_malformed"
 _QUOTED = '"[^"]*+(?:""[^"]*+)*+"'
 
 
@@ -56,7 +55,10 @@ def read_csv(
     rows are counted again, to tell the long ones from the short ones. ``multiline`` allows line
     breaks inside quotes, at the price that a file is read by one task.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, _RAW]])
+    raw_text = "_malformed"
+    while raw_text in {c.lower() for c in columns}:
+        raw_text = f"_{raw_text}"
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, raw_text]])
     reader = spark.read if glob is None else spark.read.option("pathGlobFilter", glob)
     rows = (
         reader.schema(schema)
@@ -68,11 +70,11 @@ def read_csv(
         .option("multiLine", multiline)
         .option("mode", "PERMISSIVE")
         .option("columnPruning", False)  # a pruned parser does not see how many fields a row has
-        .option("columnNameOfCorruptRecord", _RAW)
+        .option("columnNameOfCorruptRecord", raw_text)
         .option("recursiveFileLookup", "true")
         .csv(paths if isinstance(paths, str) else list(paths))
     )
-    raw, first = F.col(_RAW), quoted(columns[0])
+    raw, first = F.col(raw_text), quoted(columns[0])
     # a row of one blank field is a blank line; it is malformed unless one column is all there is
     one_blank = raw.rlike(r'^\s*"\s*"\s*$') if len(columns) > 1 else is_blank(strip_ws(first))
     fits = raw.isNull() | (field_count(raw, sep) <= len(columns))
@@ -95,42 +97,64 @@ def read_csv_auto(
     """Delimited files of any mix of encodings, delimiters and headers, in ZIP archives or not,
     united by column name.
 
-    The files are profiled first and read once per layout found. Files with a quote left open at a
-    line's end, and those in UTF-16, are read whole; pass ``multiline`` as True or False where that is
-    known of all. A file that is no delimited text (HTML, or bytes of another kind) is an error that
-    names it. The driver sees the layouts and, only when there are several, the paths of each, as it
-    does for any read of listed files.
+    The files are profiled first. Lines of all of them then come from one scan, however many layouts there
+    are, and meet their file's layout by its path; no path comes to the driver, only the different headers.
+    Files with a quote left open at a line's end take a second scan that puts their records together, split
+    like any other; pass ``multiline`` as True or False where that is known of all. Files in UTF-16 are read
+    whole, by their paths and layouts, and so are archives. A file that is no delimited text (HTML, or bytes
+    of another kind) is an error that names it.
     """
-    files = profile_files(spark, path, glob).withColumn(
-        "multiline", (F.col("encoding") == UTF16) | (F.col("open_quote") if multiline is None else F.lit(multiline))
-    )
-    files = materialize(files.select("path", "format", "inner", "header", "delimiter", "encoding", "multiline"), "profile")
+    files = profile_files(spark, path, glob).withColumn("open", F.col("open_quote") if multiline is None else F.lit(multiline))
+    files = materialize(files.select("path", "uri", "format", "inner", "header", "delimiter", "encoding", "open"), "profile")
     # a packed file is opened by its name's ending; without it nobody would unpack it
     unread = F.col("inner").isin("html", "binary") | ((F.col("format") == "gzip") & ~F.lower("path").endswith(".gz"))
     refused = [f"{row['path']} ({row['inner']})" for row in files.where(unread).orderBy("path").limit(5).collect()]
     if refused:
         raise ValueError(f"not delimited text: {', '.join(refused)}")
-    archives = files.where(F.col("format") == "zip")
     plain = files.where((F.col("format") != "zip") & (F.col("header") != ""))
-    layouts = sorted(plain.select("header", "delimiter", "encoding", "multiline").distinct().collect())
+    wide = F.col("encoding") == UTF16
+    layouts = sorted(plain.groupBy("header", "delimiter").agg(F.bool_or(wide).alias("wide"), F.bool_or(~wide & F.col("open")).alias("open"), F.bool_or(~wide & ~F.col("open")).alias("split")).collect())
     tables = []
-    archive_paths = _paths(archives)
+    archive_paths = _paths(files.where(F.col("format") == "zip"))
     if archive_paths:
         tables.append(_read_archives_auto(spark, archive_paths, na_values, source))
-    for layout in layouts:
-        header, sep, encoding, lines = layout
-        columns = _unique_names(next(csv.reader([header], delimiter=sep)))
-        if len(layouts) == 1 and not archive_paths:
-            paths = path
-        else:
-            alike = [F.col(name) == F.lit(value) for name, value in layout.asDict().items()]
-            paths = _paths(plain.where(reduce(Column.__and__, alike)))
-        tables.append(read_csv(spark, paths, columns, sep, encoding, True, lines, na_values, source, glob))
+    known = plain.where(~wide)
+    if any(layout["split"] for layout in layouts):
+        lines = plain_lines(spark, path, glob)
+        mine = known.where(~F.col("open")).select("uri", "encoding")
+        records = lines.join(mine, "uri").select("uri", decoded(F.col("line"), F.col("encoding")).alias("record"))
+        tables.append(_table(spark, records, known, [layout for layout in layouts if layout["split"]], na_values, source))
+    if any(layout["open"] for layout in layouts):
+        records = quoted_records(spark, path, known.where("open"), glob)
+        tables.append(_table(spark, records, known, [layout for layout in layouts if layout["open"]], na_values, source))
+    for header, sep, *_ in (layout for layout in layouts if layout["wide"]):
+        paths = _paths(plain.where(wide & (F.col("header") == header) & (F.col("delimiter") == sep)))
+        tables.append(read_csv(spark, paths, _header_names(header, sep), sep, UTF16, True, True, na_values, source, glob))
     if not tables:
         raise FileNotFoundError(f"no delimited file with a header below {path}")
     return union_sources(tables)
 
 
+def _header_names(header: str, sep: str) -> list[str]:
+    return _unique_names(next(csv.reader([header], delimiter=sep)))
+
+
+def _table(spark: SparkSession, records: DataFrame, files: DataFrame, layouts: list, na_values, source) -> DataFrame:
+    """Records (``uri, record``) as the columns of all ``layouts``; long ones and blank ones are no rows."""
+    names = [(layout["header"], layout["delimiter"], _header_names(layout["header"], layout["delimiter"])) for layout in layouts]
+    columns = list(dict.fromkeys(name for _, _, of_file in names for name in of_file))
+    # where in a file's rows each column stands; only the different layouts are listed here
+    places = [(header, sep, len(of_file), [of_file.index(c) if c in of_file else -1 for c in columns]) for header, sep, of_file in names]
+    known = spark.createDataFrame(places, "header string, delimiter string, width int, places array<int>")
+    known = files.select("uri", "header", "delimiter").join(known, ["header", "delimiter"]).select("uri", "delimiter", "width", "places")
+    rows = records.where(~is_blank_record(F.col("record"))).join(known, "uri")
+    # the parts pass through a generator: a filter on them would else be pushed below and repeat the parsing
+    parsed = rows.select(F.explode(F.array(F.struct(fields(F.col("record"), F.col("delimiter")).alias("f"), "width", "places"))).alias("r"))
+    kept = parsed.where(F.size("r.f") <= F.col("r.width"))
+    table = kept.select(*[na_to_null(F.get("r.f", F.get("r.places", F.lit(i))), na_values).alias(c) for i, c in enumerate(columns)])
+    return table if source is None else tag_source(table, source)
+
+
 def _paths(files: DataFrame) -> list[str]:
     return sorted(as_literal_path(row["path"]) for row in files.select("path").collect())
 

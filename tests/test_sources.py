@@ -440,3 +440,61 @@ def test_deep_sites_take_few_jobs(spark):
     finally:
         pages.materialize = build
     assert len(written) < 10
+
+
+def test_many_layouts_take_one_scan(spark, tmp_path):
+    want = set()
+    for i in range(1000):
+        sep = ",;\t|"[i % 4]
+        body = f"id{sep}c{i}{sep}n\n{i}{sep}café{sep}x\n{i}{sep}1{sep}2{sep}long\n{i}{sep}id{sep}\"q{sep}q\"\n"
+        (tmp_path / f"{i}.csv").write_bytes(body.encode("latin-1" if i % 3 else "utf-8"))
+        want |= {(str(i), "café", "x"), (str(i), "id", f"q{sep}q")}
+    got = delimited.read_csv_auto(spark, str(tmp_path))
+    assert len(got.columns) == 1003
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") + plan.count("FileScan text") == 1
+    rows = got.select("id", F.coalesce(*[f"c{i}" for i in range(1000)]).alias("c"), "n").collect()
+    assert len(rows) == 2000 and set(map(tuple, rows)) == want
+
+
+def test_header_line_may_come_again_as_a_row(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("\n\na,_malformed\n1,2\na,_malformed\na,_malformed\n")
+    assert sorted(map(tuple, delimited.read_csv_auto(spark, str(tmp_path), source=None).collect())) == [("1", "2"), ("a", "_malformed"), ("a", "_malformed")]
+    (tmp_path / "b.csv").write_bytes(b'\n\r\na,_malformed\n"1\n",2\na,_malformed\na,_malformed,x\n')
+    assert delimited.read_csv_auto(spark, str(tmp_path), multiline=True).count() == 5
+    got = delimited.read_csv(spark, str(tmp_path / "a.csv"), ["a", "_malformed"], source=None)
+    assert sorted(map(tuple, got.collect())) == [("1", "2"), ("a", "_malformed"), ("a", "_malformed")]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_quoted_line_breaks_are_split(spark, tmp_path, seed):
+    import csv
+
+    pick = random.Random(seed)
+    cells = ["1", "ab", "", ' "x', 'y" z', '"q"', '"a,b"', '"x""y"', '"l\nm"', '"\n\n"', '"l\r\nm"', '""', '"a"b', '"\n,""\n"', '"' + "long\n" * 60 + '"', "é"]
+    end = "\r\n" if seed else "\n"
+    lines = ["h1,h2,h3"] + [",".join(pick.choice(cells) for _ in range(3)) for _ in range(1500)]
+    if seed == 2:
+        lines.append('1,"never closed\n,x')
+    text = end.join(lines)
+    (tmp_path / "a.csv").write_bytes(text.encode("latin-1" if seed == 1 else "utf-8"))
+    (tmp_path / "b.csv").write_text("h1,h2,h3\nno,break,here\n")
+    rows = [(*(x or None for x in r), *[None] * (3 - len(r))) for r in list(csv.reader(io.StringIO(text, newline="")))[1:]]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        got = delimited.read_csv_auto(spark, str(tmp_path), na_values=["?"], source=None)
+        found = [tuple(x or None for x in r) for r in got.collect()]
+        assert spark.read.text(str(tmp_path / "a.csv")).rdd.getNumPartitions() > 20
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sorted(found, key=str) == sorted([*rows, ("no", "break", "here")], key=str)
+
+
+def test_long_quoted_fields(spark, tmp_path):
+    odd = '"' + '""x\n' * 100_000 + '"'
+    (tmp_path / "a.csv").write_text(f"a,b\n{odd},1\n\"{'y' * 1_000_000}\",2\n{'z,' * 50_000}\n")
+    got = {r.b: r.a for r in delimited.read_csv_auto(spark, str(tmp_path)).collect()}
+    assert got == {"1": '"x\n' * 100_000, "2": "y" * 1_000_000}
