@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.operators.catalogue import transform
 from millrace.operators.columns import coerce_and_fill, conform, normalize_names, rename
-from millrace.sinks import Receipt, require_output, write_parquet
+from millrace.sinks import Receipt, discard, publish, read_back, require_output, write_parquet
 
 log = logging.getLogger(__name__)
 
@@ -84,9 +85,25 @@ def build(spark: SparkSession, job: Job, run_ts: datetime | None = None) -> Data
     return transform(tables, run_ts, job.normalize_keys, job.blank_is_missing, job.missing)
 
 
-def run(spark: SparkSession, job: Job, run_ts: datetime | None = None) -> Receipt:
-    """Build, write with the row count taken on the way, and check that files are there."""
+def run(spark: SparkSession, job: Job, run_ts: datetime | None = None, check: Callable[[DataFrame], None] | None = None) -> Receipt:
+    """Build, write beside the dataset with the row count taken on the way, check that files are there, publish.
+
+    Whatever fails, the dataset of the last run is still there; what the failed run wrote beside it goes.
+    """
     result = build(spark, job, run_ts)
-    receipt = write_parquet(result, job.path, job.partition_by, rebalance=job.rebalance)
-    require_output(spark, job.path)
-    return receipt
+    beside = _beside(job.path)
+    try:
+        receipt = write_parquet(result, beside, job.partition_by, rebalance=job.rebalance)
+        require_output(spark, beside)
+        if check is not None:
+            check(read_back(spark, receipt))
+        return publish(spark, receipt, job.path)
+    except Exception:
+        discard(spark, beside)
+        raise
+
+
+def _beside(path: str) -> str:
+    """A fresh hidden path in the same folder, so that renaming stays within one storage."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return f"{folder}/.{name}-{uuid.uuid4().hex}"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -113,3 +114,50 @@ def require_output(spark: SparkSession, path: str, prefix: str = "") -> None:
     """Fail when the path holds no data file."""
     if list_objects(spark, path, prefix, "*.parquet").isEmpty():
         raise ValueError(f"no Parquet file below {path}/{prefix}")
+
+
+def publish(spark: SparkSession, receipt: Receipt, path: str, replace: str = "static", partition_by: Sequence[str] = ("source",)) -> Receipt:
+    """Move a checked dataset's files to where readers look, in place of what is there.
+
+    Files are renamed by the storage's own client, so data is not written again where it can rename. What was
+    there goes aside first and is deleted last; if a rename fails it comes back. ``replace="dynamic"`` puts
+    aside only the partitions that the new dataset holds. Readers meet the old dataset or the new one, or
+    for the moment between two renames none.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    new, old = hadoop.Path(receipt.path), hadoop.Path(path)
+    fs = old.getFileSystem(conf)
+    aside = hadoop.Path(old.getParent(), f".{old.getName()}-before-{uuid.uuid4().hex}")
+    names = [None]
+    if replace == "dynamic" and partition_by and fs.exists(old):
+        parts = fs.listStatus(new)
+        names = sorted(p.getPath().getName() for p in parts if p.isDirectory())
+    moved: list[tuple] = []
+
+    def move(a, b) -> None:
+        fs.mkdirs(b.getParent())
+        if not fs.rename(a, b):
+            raise OSError(f"could not rename {a} to {b}")
+        moved.append((a, b))
+
+    try:
+        for name in names:
+            there = old if name is None else hadoop.Path(old, name)
+            if fs.exists(there):
+                move(there, aside if name is None else hadoop.Path(aside, name))
+            move(new if name is None else hadoop.Path(new, name), there)
+    except Exception:
+        for a, b in reversed(moved):
+            fs.rename(b, a)
+        raise
+    fs.delete(aside, True)
+    fs.delete(new, True)
+    spark.catalog.refreshByPath(path)
+    return Receipt(path, receipt.rows, receipt.schema)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a dataset that did not pass its check."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -12,10 +12,12 @@ import contextlib
 import csv
 import io
 import itertools
+import json
 import re
 import sys
 import zipfile
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -108,25 +110,37 @@ def read_csv_auto(
     files = materialize(files.select("path", "uri", "format", "inner", "header", "delimiter", "encoding", "open"), "profile")
     # a packed file is opened by its name's ending; without it nobody would unpack it
     unread = F.col("inner").isin("html", "binary") | ((F.col("format") == "gzip") & ~F.lower("path").endswith(".gz"))
-    refused = [f"{row['path']} ({row['inner']})" for row in files.where(unread).orderBy("path").limit(5).collect()]
+    wide, zipped = F.col("encoding") == UTF16, F.col("format") == "zip"
+    # one row per header and what is to be done with it; unreadable files have none of their own
+    header = F.when(~unread & ~zipped, F.col("header"))
+    found = files.groupBy(header.alias("header"), F.when(header.isNotNull(), F.col("delimiter")).alias("delimiter")).agg(
+        F.bool_or(wide).alias("wide"),
+        F.bool_or(~wide & F.col("open")).alias("open"),
+        F.bool_or(~wide & ~F.col("open")).alias("split"),
+        F.bool_or(zipped).alias("zipped"),
+        F.min(F.when(unread, F.concat("path", F.lit(" ("), "inner", F.lit(")")))).alias("refused"),
+    )
+    found = found.collect()
+    refused = sorted(row["refused"] for row in found if row["refused"])
     if refused:
         raise ValueError(f"not delimited text: {', '.join(refused)}")
-    plain = files.where((F.col("format") != "zip") & (F.col("header") != ""))
-    wide = F.col("encoding") == UTF16
-    layouts = sorted(plain.groupBy("header", "delimiter").agg(F.bool_or(wide).alias("wide"), F.bool_or(~wide & F.col("open")).alias("open"), F.bool_or(~wide & ~F.col("open")).alias("split")).collect())
+    layouts = sorted((row for row in found if row["header"]), key=lambda row: (row["header"], row["delimiter"]))
+    plain = files.where(~zipped & (F.col("header") != ""))
     tables = []
-    archive_paths = _paths(files.where(F.col("format") == "zip"))
-    if archive_paths:
-        tables.append(_read_archives_auto(spark, archive_paths, na_values, source))
+    if any(row["zipped"] for row in found):
+        tables.append(_read_archives_auto(spark, _paths(files.where(zipped)), na_values, source))
     known = plain.where(~wide)
+    records = []
     if any(layout["split"] for layout in layouts):
-        lines = plain_lines(spark, path, glob)
         mine = known.where(~F.col("open")).select("uri", "encoding")
-        records = lines.join(mine, "uri").select("uri", decoded(F.col("line"), F.col("encoding")).alias("record"))
-        tables.append(_table(spark, records, known, [layout for layout in layouts if layout["split"]], na_values, source))
+        lines = plain_lines(spark, path, glob).join(mine, "uri")
+        records.append(lines.select("uri", decoded(F.col("line"), F.col("encoding")).alias("record")))
     if any(layout["open"] for layout in layouts):
-        records = quoted_records(spark, path, known.where("open"), glob)
-        tables.append(_table(spark, records, known, [layout for layout in layouts if layout["open"]], na_values, source))
+        used = sorted({layout["delimiter"] for layout in layouts if layout["open"]})
+        records.append(quoted_records(spark, path, known.where("open"), used, glob))
+    if records:
+        narrow = [layout for layout in layouts if layout["split"] or layout["open"]]
+        tables.append(_table(spark, reduce(DataFrame.unionByName, records), known, narrow, na_values, source))
     for header, sep, *_ in (layout for layout in layouts if layout["wide"]):
         paths = _paths(plain.where(wide & (F.col("header") == header) & (F.col("delimiter") == sep)))
         tables.append(read_csv(spark, paths, _header_names(header, sep), sep, UTF16, True, True, na_values, source, glob))
@@ -143,13 +157,18 @@ def _table(spark: SparkSession, records: DataFrame, files: DataFrame, layouts: l
     """Records (``uri, record``) as the columns of all ``layouts``; long ones and blank ones are no rows."""
     names = [(layout["header"], layout["delimiter"], _header_names(layout["header"], layout["delimiter"])) for layout in layouts]
     columns = list(dict.fromkeys(name for _, _, of_file in names for name in of_file))
+    used = sorted({sep for _, sep, _ in names})
     # where in a file's rows each column stands; only the different layouts are listed here
-    places = [(header, sep, len(of_file), [of_file.index(c) if c in of_file else -1 for c in columns]) for header, sep, of_file in names]
-    known = spark.createDataFrame(places, "header string, delimiter string, width int, places array<int>")
+    places = [
+        {"header": header, "delimiter": sep, "width": len(of_file), "places": [of_file.index(c) if c in of_file else -1 for c in columns]}
+        for header, sep, of_file in names
+    ]
+    listed = F.from_json(F.lit(json.dumps(places)), "array<struct<header string, delimiter string, width int, places array<int>>>")
+    known = spark.range(1).select(F.inline(listed))
     known = files.select("uri", "header", "delimiter").join(known, ["header", "delimiter"]).select("uri", "delimiter", "width", "places")
     rows = records.where(~is_blank_record(F.col("record"))).join(known, "uri")
     # the parts pass through a generator: a filter on them would else be pushed below and repeat the parsing
-    parsed = rows.select(F.explode(F.array(F.struct(fields(F.col("record"), F.col("delimiter")).alias("f"), "width", "places"))).alias("r"))
+    parsed = rows.select(F.explode(F.array(F.struct(fields(F.col("record"), F.col("delimiter"), used).alias("f"), "width", "places"))).alias("r"))
     kept = parsed.where(F.size("r.f") <= F.col("r.width"))
     table = kept.select(*[na_to_null(F.get("r.f", F.get("r.places", F.lit(i))), na_values).alias(c) for i, c in enumerate(columns)])
     return table if source is None else tag_source(table, source)

@@ -10,9 +10,11 @@ one row each is left. So a file with line breaks inside quotes is split like any
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from millrace.session import materialize
 from millrace.sources.probe import DELIMITERS, LATIN1, RARE_DELIMITERS, UTF8
 
 QUOTED = '"[^"]*+(?:""[^"]*+)*+"'
@@ -40,15 +42,15 @@ def decoded(line: Column, encoding: Column) -> Column:
     return F.when((encoding != UTF8) | (F.octet_length(line) == F.char_length(line)), line).otherwise(utf8)
 
 
-def _by_delimiter(sep: Column, made) -> Column:
-    """``made(delimiter)`` for the delimiter that ``sep`` is; patterns must be known when a query is planned."""
-    out = None
-    for d in DELIMITERS + RARE_DELIMITERS:
-        out = F.when(sep == d, made(d)) if out is None else out.when(sep == d, made(d))
+def _by_delimiter(sep: Column, used: Sequence[str], made: Callable[[str], Column]) -> Column:
+    """``made(delimiter)`` for the one of ``used`` that ``sep`` is; patterns must be known when a query is planned."""
+    out = made(used[-1])
+    for d in used[:-1]:
+        out = F.when(sep == d, made(d)).otherwise(out)
     return out
 
 
-def fields(record: Column, sep: Column) -> Column:
+def fields(record: Column, sep: Column, used: Sequence[str] = DELIMITERS + RARE_DELIMITERS) -> Column:
     """The fields of a record: a quote opens one at its start only, two stand for one, and an empty one is NULL."""
 
     def of(d: str) -> Column:
@@ -64,7 +66,7 @@ def fields(record: Column, sep: Column) -> Column:
         plain = F.transform(F.split(record, re.escape(d), -1), lambda x: F.when(x != "", x))
         return F.when(record.contains('"'), F.transform(found, bare)).otherwise(plain)
 
-    return _by_delimiter(sep, of)
+    return _by_delimiter(sep, used, of)
 
 
 def is_blank_record(record: Column) -> Column:
@@ -72,7 +74,7 @@ def is_blank_record(record: Column) -> Column:
     return record.rlike(r'^\s*+(?:"\s*+"\s*+)?+$')
 
 
-def _open_after(line: Column, sep: Column) -> tuple[Column, Column]:
+def _open_after(line: Column, sep: Column, used: Sequence[str]) -> tuple[Column, Column]:
     """Is a quote open after the line, if none was before it, and if one was?"""
 
     def outside(d: str) -> Column:
@@ -85,11 +87,11 @@ def _open_after(line: Column, sep: Column) -> tuple[Column, Column]:
         return ~line.rlike(r'^[^"]*+(?:""[^"]*+)*+"(?!")') | bare.rlike(f'{re.escape(d)}"')
 
     quote = line.contains('"')
-    return quote & _by_delimiter(sep, outside), ~quote | _by_delimiter(sep, inside)
+    return quote & _by_delimiter(sep, used, outside), ~quote | _by_delimiter(sep, used, inside)
 
 
-def quoted_records(spark: SparkSession, path: str, files: DataFrame, glob: str | None = None) -> DataFrame:
-    """``(uri, record)`` of the files in ``files`` (``uri, delimiter, encoding``), headers and blank lines left out.
+def quoted_records(spark: SparkSession, path: str, files: DataFrame, used: Sequence[str], glob: str | None = None) -> DataFrame:
+    """``(uri, record)`` of the files in ``files`` (``uri, delimiter, encoding``; delimiters are ``used``), headers and blank lines left out.
 
     A record has line breaks where its quoted fields have them. The header is one line. Lines end with a
     line feed, a carriage return before it counts as part of the end.
@@ -101,57 +103,72 @@ def quoted_records(spark: SparkSession, path: str, files: DataFrame, glob: str |
     scanned = reader.text(path).select(F.col("_metadata.file_path").alias("uri"), block.alias("block"), F.monotonically_increasing_id().alias("at"), "value")
     text = F.when(F.col("encoding") == LATIN1, F.decode(F.col("value").cast("binary"), LATIN1)).otherwise(F.make_valid_utf8("value"))
     lines = scanned.join(files.select("uri", "delimiter", "encoding"), "uri").select("uri", "block", "at", "delimiter", text.alias("line"))
-    here = Window.partitionBy("uri", "block").orderBy("at")
-    upto = here.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-    # What a line makes of the state: a value it sets, or a turn. The header, and what stands before it, set it to 0.
-    seen = F.sum((F.col("line").rlike("[^\ufeff\r]")).cast("long")).over(upto)
-    lines = lines.withColumn("head", (F.col("block") == 0) & (seen <= 1))
-    after_out, after_in = _open_after(F.col("line"), F.col("delimiter"))
-    lines = lines.withColumn("out", F.when(F.col("head"), F.lit(False)).otherwise(after_out)).withColumn("in", F.when(F.col("head"), F.lit(False)).otherwise(after_in))
-    sets = F.when(F.col("out") == F.col("in"), F.col("out").cast("int"))
-    turns = F.when(F.col("out") & ~F.col("in"), 1).otherwise(0)
-    lines = lines.select("uri", "block", "at", "line", "head", sets.alias("sets"), turns.alias("turns"))
-    lines = lines.withColumn("turned", F.sum("turns").over(upto))
-    last = F.last(F.when(F.col("sets").isNotNull(), F.struct("sets", "turned")), ignorenulls=True).over(upto)
-    lines = lines.withColumn("last", last)
-    # the composed function: a set value, or none, and the turns after it
-    lines = lines.select(
-        "uri", "block", "at", "line", "head",
-        F.col("last.sets").alias("value"),
-        ((F.col("turned") - F.coalesce("last.turned", F.lit(0))) % 2).alias("odd"),
-    )
-    before = F.lag(F.struct("value", "odd")).over(here)
-    lines = lines.withColumn("before", before)
-
-    def begins(state) -> Column:
-        open_ = (F.coalesce("before.value", state) + F.coalesce("before.odd", F.lit(0))) % 2
-        return (open_ == 0) & ~F.col("head")
-
-    # One row per block: what it makes of either state, and where its last record begins in either case.
-    blocks = lines.groupBy("uri", "block").agg(
-        F.max_by(F.struct("value", "odd"), "at").alias("made"),
-        F.max(F.when(begins(F.lit(0)), F.col("at"))).alias("start0"),
-        F.max(F.when(begins(F.lit(1)), F.col("at"))).alias("start1"),
-    )
-    along = Window.partitionBy("uri").orderBy("block")
-    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("sets", F.when(F.col("made.value").isNotNull(), (F.col("made.value") + F.col("made.odd")) % 2))
-    blocks = blocks.withColumn("turned", F.sum(F.when(F.col("sets").isNull(), F.col("made.odd")).otherwise(0)).over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    blocks = blocks.withColumn("last", F.last(F.when(F.col("sets").isNotNull(), F.struct("sets", "turned")), ignorenulls=True).over(earlier))
-    turned = F.coalesce(F.lag("turned").over(along), F.lit(0)) - F.coalesce("last.turned", F.lit(0))
-    blocks = blocks.withColumn("state", ((F.coalesce("last.sets", F.lit(0)) + turned) % 2).cast("int"))
-    start = F.when(F.col("state") == 0, F.col("start0")).otherwise(F.col("start1"))
-    blocks = blocks.withColumn("start", start)
-    going_on = F.last(F.when(F.col("start").isNotNull(), F.struct("block", F.col("start").alias("at"))), ignorenulls=True).over(earlier)
-    blocks = blocks.select(F.col("uri").alias("_uri"), F.col("block").alias("_block"), "state", going_on.alias("going_on"))
-
-    placed = lines.join(blocks, (F.col("uri") == F.col("_uri")) & (F.col("block") == F.col("_block"))).where(~F.col("head"))
-    open_after = (F.coalesce("value", "state") + F.col("odd")) % 2
-    placed = placed.select("uri", "block", "at", "line", "going_on", begins(F.col("state")).alias("begins"), (open_after == 1).alias("goes_on"))
-    alone = placed.where("begins AND NOT goes_on").select("uri", F.col("line").alias("record"))
-    begun = F.last(F.when(F.col("begins"), F.struct("block", "at")), ignorenulls=True).over(upto)
-    parts = placed.withColumn("first", F.coalesce(begun, F.col("going_on"))).where("NOT begins OR goes_on")
-    joined = parts.groupBy("uri", "first").agg(F.array_sort(F.collect_list(F.struct("block", "at", "line"))).alias("lines"))
-    joined = joined.select("uri", F.array_join(F.transform("lines", lambda x: x["line"]), "\n").alias("record"))
-    return alone.unionByName(joined).select("uri", F.regexp_replace("record", "\r\\z", "").alias("record"))
+    after_out, after_in = _open_after(F.col("line"), F.col("delimiter"), used)
+    lines = lines.select("uri", "block", "at", "line", after_out.alias("from_out"), after_in.alias("from_in"))
+    composed = materialize(spark.sql(_COMPOSED, lines=lines), "quoted-lines")
+    return spark.sql(_ASSEMBLED, lines=composed)
+
+
+#: What the lines of a block have made of the state so far: the value last set, if any, and the turns since. The
+#: header, and what stands before it, set it to 0.
+_COMPOSED = """
+WITH seen AS (
+    SELECT *, block = 0 AND count_if(line RLIKE '[^\\\\ufeff\\\\r]') OVER upto <= 1 AS head FROM {lines}
+    WINDOW upto AS (PARTITION BY uri, block ORDER BY at ROWS UNBOUNDED PRECEDING)
+), made AS (
+    SELECT uri, block, at, line, head,
+           CASE WHEN head THEN 0 WHEN from_out = from_in THEN int(from_out) END AS sets,
+           int(NOT head AND from_out AND NOT from_in) AS turns
+    FROM seen
+), turned AS (
+    SELECT *, sum(turns) OVER (PARTITION BY uri, block ORDER BY at ROWS UNBOUNDED PRECEDING) AS turned FROM made
+), composed AS (
+    SELECT *, last(CASE WHEN sets IS NOT NULL THEN struct(sets, turned) END) IGNORE NULLS OVER (
+               PARTITION BY uri, block ORDER BY at ROWS UNBOUNDED PRECEDING) AS last
+    FROM turned
+), state AS (
+    SELECT uri, block, at, line, head, struct(last.sets AS value, int((turned - coalesce(last.turned, 0)) % 2) AS odd) AS after
+    FROM composed
+)
+SELECT *, lag(after) OVER (PARTITION BY uri, block ORDER BY at) AS before FROM state
+"""
+
+#: Of each block one row: what it makes of either state, and where its last record begins in either case. Lines that
+#: are records by themselves pass; the others go to where their record begins.
+_ASSEMBLED = """
+WITH blocks AS (
+    SELECT uri, block, max_by(after, at) AS made,
+           max(at) FILTER (WHERE NOT head AND (coalesce(before.value, 0) + coalesce(before.odd, 0)) % 2 = 0) AS start0,
+           max(at) FILTER (WHERE NOT head AND (coalesce(before.value, 1) + coalesce(before.odd, 0)) % 2 = 0) AS start1
+    FROM {lines} GROUP BY uri, block
+), turned AS (
+    SELECT *, (made.value + made.odd) % 2 AS sets,
+           sum(CASE WHEN made.value IS NULL THEN made.odd ELSE 0 END) OVER (PARTITION BY uri ORDER BY block) AS turned
+    FROM blocks
+), known AS (
+    SELECT *, last(CASE WHEN sets IS NOT NULL THEN struct(sets, turned) END) IGNORE NULLS OVER earlier AS last,
+           coalesce(lag(turned) OVER (PARTITION BY uri ORDER BY block), 0) AS sofar
+    FROM turned WINDOW earlier AS (PARTITION BY uri ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), begun AS (
+    SELECT uri, block, int((coalesce(last.sets, 0) + sofar - coalesce(last.turned, 0)) % 2) AS state, start0, start1 FROM known
+), going AS (
+    SELECT uri, block, state, last(CASE WHEN if(state = 0, start0, start1) IS NOT NULL
+               THEN struct(block, if(state = 0, start0, start1) AS at) END) IGNORE NULLS OVER earlier AS going_on
+    FROM begun WINDOW earlier AS (PARTITION BY uri ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), placed AS (
+    SELECT l.uri, l.block, l.at, l.line, g.going_on,
+           (coalesce(before.value, state) + coalesce(before.odd, 0)) % 2 = 0 AS begins,
+           (coalesce(after.value, state) + after.odd) % 2 = 1 AS goes_on
+    FROM {lines} l JOIN going g ON l.uri = g.uri AND l.block = g.block WHERE NOT head
+), parts AS (
+    SELECT uri, block, at, line, coalesce(last(CASE WHEN begins THEN struct(block, at) END) IGNORE NULLS OVER (
+               PARTITION BY uri, block ORDER BY at ROWS UNBOUNDED PRECEDING), going_on) AS first
+    FROM placed WHERE NOT begins OR goes_on
+), joined AS (
+    SELECT uri, line AS record FROM placed WHERE begins AND NOT goes_on
+    UNION ALL
+    SELECT uri, array_join(transform(array_sort(collect_list(struct(block, at, line))), x -> x.line), '\\n')
+    FROM parts GROUP BY uri, first
+)
+SELECT uri, regexp_replace(record, '\\\\r\\\\z', '') AS record FROM joined
+"""

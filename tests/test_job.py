@@ -132,6 +132,47 @@ def test_job(spark, books, tmp_path):
     assert build(spark, job)._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
 
 
+def test_a_failed_run_leaves_the_dataset(spark, books, tmp_path):
+    job = Job([Source("web", lambda s: books)], str(tmp_path))
+    receipt = run(spark, job, datetime(2026, 1, 1))
+    before = sorted(sinks.read_back(spark, receipt).collect(), key=str)
+    fewer = Job([Source("web", lambda s: books.where("title = 'A'"))], str(tmp_path))
+
+    def refuse(df):
+        assert df.count() == 1
+        raise ValueError("too few rows")
+
+    with pytest.raises(ValueError, match="too few"):
+        run(spark, fewer, check=refuse)
+    with pytest.raises(ValueError, match="no Parquet"):
+        run(spark, Job([Source("web", lambda s: books.where("false"))], str(tmp_path)))
+    broken = Job([Source("web", lambda s: books.withColumn("title", F.raise_error(F.lit("broken"))))], str(tmp_path))
+    with pytest.raises(Exception):
+        run(spark, broken)
+    assert sorted(sinks.read_back(spark, receipt).collect(), key=str) == before
+    assert [p.name for p in (tmp_path / "processed").iterdir()] == ["books"]
+    assert run(spark, fewer, check=lambda df: None).rows == 1
+    assert sinks.read_back(spark, receipt).count() == 1
+    assert [p.name for p in (tmp_path / "processed").iterdir()] == ["books"]
+
+
+def test_publish(spark, books, tmp_path):
+    old, new = str(tmp_path / "data"), str(tmp_path / "new")
+    kept = sinks.write_parquet(books, old)
+    fresh = sinks.write_parquet(books.where("source = 'web'").withColumn("title", F.lit("new")), new)
+    got = sinks.publish(spark, fresh, old, replace="dynamic")
+    assert got.path == old and got.rows == 1
+    titles = {r.source: r.title for r in sinks.read_back(spark, kept).collect()}
+    assert titles["web"] == "new" and len(titles) == 3
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["data"]
+    with pytest.raises(Exception):
+        sinks.publish(spark, sinks.Receipt(str(tmp_path / "gone"), 0, books.schema), old)
+    assert sinks.read_back(spark, kept).count() == 3
+    fresh = sinks.write_parquet(books.where("source = 'web'"), new)
+    sinks.publish(spark, fresh, old)
+    assert sinks.read_back(spark, kept).count() == 1
+
+
 def test_staging_uses_the_shared_folder(spark):
     assert session.staging_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert session.staging_path(spark, "x") != session.staging_path(spark, "x")
