@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -142,5 +143,16 @@ def words(body: np.ndarray, at: np.ndarray, separator: np.ndarray = _SPACE) -> t
     return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, at)
 
 
+def strings(body: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The words at these places, as one Arrow array of bytes."""
+    offsets = np.concatenate(([0], np.cumsum(ends - starts)))
+    places = np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], ends - starts)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(body[places])])
+
+
 def word_hashes(body: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return stretch(running(byte_table()[body]), starts, ends)
+    """XXH3 of each word's bytes, computed once for words that come again. Sums of powers would not do here:
+    modulo 2^64 long words can be made that differ and share any such sum."""
+    coded = strings(body, starts, ends).dictionary_encode()
+    known = np.array([xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.to_pylist()], np.uint64)
+    return known[coded.indices.to_numpy()] if len(known) else np.zeros(0, np.uint64)

@@ -38,13 +38,6 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
     return parts, lower
 
 
-def _strings(body: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
-    """The words at these places, as one Arrow array."""
-    offsets = np.concatenate(([0], np.cumsum(ends - starts)))
-    places = np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], ends - starts)
-    return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(body[places]))
-
-
 def _profiles(bits: bytes | None):
     """``row, id, n, terms, tfs, slots`` of each text; only words in the filter ``bits``, if there is one."""
     kept = None if bits is None else np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").view(bool)
@@ -59,12 +52,12 @@ def _profiles(bits: bytes | None):
             if kept is not None:
                 some = np.flatnonzero(kept[slots])
                 starts, ends, slots, own = starts[some], ends[some], slots[some], own[some]
-            coded = _strings(body, starts, ends).dictionary_encode()
+            coded = flat.strings(body, starts, ends).dictionary_encode()
             code = coded.indices.to_numpy().astype(np.int64)
             width = max(1, len(coded.dictionary))
             keys, first, tf = np.unique(own * width + code, return_index=True, return_counts=True)
             lists = pa.array(np.searchsorted(keys, np.arange(batch.num_rows + 1) * width).astype(np.int32))
-            terms = coded.dictionary.take(pa.array(keys % width)).cast(pa.string())
+            terms = coded.dictionary.take(pa.array(keys % width)).cast(pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("row"),

@@ -79,6 +79,14 @@ def test_query(spark, name, window, by_words):
     assert any(v[1] for v in got.values())
 
 
+def test_words_made_to_share_sums_of_powers(spark):
+    odd = ["".join("ab"[bin(i).count("1") % 2 ^ turn] for i in range(1024)) for turn in (0, 1)]
+    words = [f"w{i}" for i in range(34)]
+    texts = [" ".join([*words, w]) for w in odd] + [" ".join([w, *words[::-1]]) for w in odd]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.n_removed for r in remove_repeated_passages(df).collect()] == [0] * 4
+
+
 def test_bad_sizes():
     with pytest.raises(ValueError):
         remove_repeated_passages(None, 5, 5)
