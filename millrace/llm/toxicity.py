@@ -178,13 +178,19 @@ def _words(text: Column) -> Column:
     return F.array_distinct(F.filter(bare, lambda w: F.length(w).between(2, 40)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, toxic_texts: int = 3000, clean_texts: int = 6000, landmarks: int = 300, id_col: str = "doc_id", text_col: str = "text") -> Model:
+def fit(docs: DataFrame, labels: DataFrame, toxic_texts: int = 3000, clean_texts: int = 6000, landmarks: int = 300, toxic_words: int = 1500, usual_words: int = 2000, other_words: int = 4000, hard_words: int = 2000, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Fit on a sample of labelled rows of ``docs``: at most ``toxic_texts`` and ``clean_texts`` of them.
 
     The bounds are those of the sample alone, which the driver picks by hash of the id; rows of ``labels``
     with a null label, and those whose ``crc32(id) % 3`` is 1, are never learnt from. Several labels of one id
     count as toxic if one is. Only ids, labels and texts are used. Without both classes there is nothing to
-    learn: every score is then 0.
+    learn, nor is there when no word stands in three toxic texts or more and seldom in clean ones: every score
+    is then 0.
+
+    The machine is fitted on words of the sample, of 2 to 40 letters. These bounds are of its training set
+    alone, all texts are scored whole: ``toxic_words`` that tell most toxic texts, the ``usual_words`` most
+    found in clean ones, ``other_words`` of the clean ones picked by hash, and twice the ``hard_words`` that it
+    then gets most wrong.
     """
     flat.small_batches(docs)
     known = labels.select(F.col(id_col).cast("long").alias("id"), F.col("toxic").cast("int").alias("toxic"))
@@ -206,10 +212,10 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_texts: int = 3000, clean_texts
     telling = spelled.where("toxic = 1").join(counted.where("n_toxic > 2 AND odds > 2 AND n_toxic >= 0.7 * n"), "word")
     best = telling.groupBy("id").agg(F.max("odds").alias("best"))
     witness = telling.join(best, "id").where(F.col("odds") > F.col("best") - 1).groupBy("word").agg(F.count("*").alias("n"))
-    good = witness.orderBy(F.desc("n"), "word").limit(1500).collect()
+    good = witness.orderBy(F.desc("n"), "word").limit(toxic_words).collect()
     clean = counted.where("n_toxic < 0.7 * n")
-    usual = clean.where("odds < 1").orderBy(F.desc("n"), "word").limit(2000).collect()
-    other = clean.orderBy(F.xxhash64("word")).limit(4000).collect()
+    usual = clean.where("odds < 1").orderBy(F.desc("n"), "word").limit(usual_words).collect()
+    other = clean.orderBy(F.xxhash64("word")).limit(other_words).collect()
     if not good:
         return Model(np.zeros(_SYMBOLS**3, np.float32), _LEAST, None)
     positive = [r.word for r in good]
@@ -237,7 +243,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_texts: int = 3000, clean_texts
     model, hard = machine([]), []
     for _ in range(2):
         wrong = _margins(clean.select(F.lit(0).cast("long").alias("id"), F.col("word").alias("text")), model, True)
-        worst = wrong.where("margin > -0.8").orderBy(F.desc("margin"), "text").limit(2000).collect()
+        worst = wrong.where("margin > -0.8").orderBy(F.desc("margin"), "text").limit(hard_words).collect()
         hard = list(dict.fromkeys([r.text for r in worst if r.text not in set(positive)] + hard))
         model = machine(hard)
 

@@ -2,34 +2,46 @@ from collections import defaultdict
 
 import regex
 
-from millrace.llm.decontaminate import UNITS, contaminated, drop_contaminated
+from millrace.llm.decontaminate import NUMBER_WORDS, UNITS, contaminated, drop_contaminated
 from millrace.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
-HEADS = {u.split("/")[0] for u in UNITS}
+TYPES = {u: kind for kind, line in UNITS.items() for u in line.split() if "/" not in u}
 WORD = regex.compile(r"(?V1)(?:[\p{L}\p{M}])+|\p{N}+(?:[.,]\p{N}+)*|[.!?\n]")
 
 
 def canonical(text, inside=False):
-    out, first, last, shouted = [], not inside, None, False
-    for m in WORD.finditer(text or ""):
+    text = text or ""
+    words, first, shouted = [], not inside, False
+    for m in WORD.finditer(text):
         w = m.group()
         if w in ".!?\n":
-            first, last, shouted = True, None, False
+            first, shouted = True, False
             continue
         low = w.lower()
-        if w[0].isnumeric():
-            kind = "<num>"
-        elif last == "<num>" and low in HEADS:
-            kind = "<unit>"
+        before = words[-1] if words and not first else None
+        joint = text[words[-1]["end"] : m.start()] if words else ""
+        opens = first and w[0].isupper()
+        if w[0].isnumeric() or low in NUMBER_WORDS:
+            kind, opens = "<num>", False
+        elif before and before["number"] and low in TYPES:
+            kind = TYPES[low]
         elif not first and w[0].isupper() and not shouted:
             kind = "<name>"
         else:
             kind = low
-        out.append((kind, low))
+        joined = joint in (" ", "-") and before and (
+            (kind == "<name>" and before["name"]) or (low in NUMBER_WORDS and before["number"])
+        )
+        one = {"kind": kind, "low": low, "end": m.end(), "number": kind == "<num>", "name": kind == "<name>" or opens}
+        if joined:
+            one["low"] = before["low"] + " " + low
+            words[-1] = one
+        else:
+            words.append(one)
         shouted = len(w) > 1 and w.isupper()
-        first, last = False, kind
-    return out
+        first = False
+    return [(w["kind"], w["low"]) for w in words]
 
 
 def brute(docs, items, width=8, coverage=0.5):
@@ -101,6 +113,37 @@ def test_texts(spark):
     assert kept.columns == d.columns and sorted(r.doc_id for r in kept.collect()) == sorted({i for i, _ in DOCS} - {i for i, _ in got})
 
 
+def test_asked_otherwise(spark):
+    """Names and numbers of other lengths, units of the same kind; another kind of unit is another question."""
+    item = [(1, "On Monday the baker Mary Ann Miller sells nine loaves and 14 rolls to old Peter, who walks 3 km home. How many loaves has Mary Ann Miller left now?")]
+    docs = [
+        (1, "He asked. On Friday the baker Otto sells twenty-two loaves and 3 rolls to old Jean Paul, who walks two miles home. How many loaves has Otto left now?"),
+        (2, "On Monday the baker Mary Ann Miller sells nine loaves and 14 rolls to old Peter, who walks 3 hours home. How many"),
+        (3, "On Friday the baker Otto sells 2 loaves and 3 rolls to old Jean, who walks 2 miles home. How many loaves has Jean left now?"),
+    ]
+    d, b = frames(spark, docs, item)
+    got = rows(contaminated(d, b))
+    assert got == brute(docs, item) and got[1, 1] == (1.0, False) and (3, 1) not in got
+
+
+def test_runs_of_numbers(spark):
+    """One key at every place of text and items, over several blocks. A text of one number holds them all, as
+    each slot value has one value there."""
+    numbers = [str(i * i) for i in range(20_000)]
+    items = [(i, " ".join(numbers[i * 3000 : i * 3000 + 300])) for i in range(3)]
+    d, b = frames(spark, [(1, " ".join(numbers)), (2, " ".join(["7"] * 5000)), (3, "words alone, none of them a figure at all, eight at least")], items)
+    assert rows(contaminated(d, b)) == {(d, i): (1.0, d == 1) for d in (1, 2) for i in range(3)}
+
+
+def test_long_item_over_blocks(spark):
+    """An item longer than a block of words, at both ends of texts and between blocks; half of it is enough."""
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(6000)]
+    item = " ".join(words[1000:3500])
+    texts = [(1, " ".join(words)), (2, " ".join(words[2100:])), (3, " ".join(words[:2300])), (4, " ".join(words[2300:]))]
+    d, b = frames(spark, texts, [(1, item)])
+    assert rows(contaminated(d, b)) == brute(texts, [(1, item)])
+
+
 def test_odd_rows(spark):
     docs = [(None, ITEMS[0][1]), (None, "fine"), (7, ITEMS[0][1]), (7, ITEMS[0][1]), (7, "fine too")]
     d, b = frames(spark, docs, [*ITEMS, ITEMS[0], (None, ITEMS[1][1])])
