@@ -261,9 +261,10 @@ def _laid(
     from_, to = block * BLOCK - (n - w), block * BLOCK + BLOCK
     low, high = max(from_, first), min(to + n, first + len(text[0]))
     words, raw = np.zeros(to + n - from_, np.uint64), np.zeros(to + n - from_, np.uint64)
-    there = np.zeros(to + n - from_, bool)
+    there, slots = np.zeros(to + n - from_, bool), np.zeros(to + n - from_, bool)
     here = slice(low - from_, high - from_)
     words[here], raw[here], there[here] = _keys(text[0], text[1])[low - first : high - first], text[1][low - first : high - first], True
+    slots[here] = text[0][low - first : high - first] > 0
     own = _keys(*item)
     other = _keys(np.array([opening], np.int8), item[1][:1])[0]
     order = np.argsort(item[1], kind="stable")
@@ -291,6 +292,10 @@ def _laid(
         covered = np.cumsum(covers, axis=1)[:, :n] > 0
         written = np.lib.stride_tricks.sliding_window_view(raw, n)[rows][enough]
         exact = ((written == item[1]) | ~covered).all(axis=1)
+        # at the item's ends a name or number may go on into the text around it, so its value tells nothing
+        laid_slots = np.lib.stride_tricks.sliding_window_view(slots, n)[rows][enough]
+        for edge in (0, n - 1):
+            covered[:, edge] &= ~laid_slots[:, edge]
         written, covered = written[:, order], covered[:, order]
         least = np.minimum.reduceat(np.where(covered, written, np.uint64(2**64 - 1)), groups, axis=1)
         most = np.maximum.reduceat(np.where(covered, written, np.uint64(0)), groups, axis=1)
@@ -338,8 +343,9 @@ def contaminated(
 
     A window is ``width`` canonical words (all of a shorter item's, from 4 on). An item is in a text when, at
     one shift, ``coverage`` or more of the item's windows stand in it with consistent slots: along that shift
-    each of the item's slot values has one value in the text and each word that is no slot is the same.
-    ``exact`` says that the slots' values are the item's own. ``h`` is the text's hash, which tells rows apart
+    each of the item's slot values has one value in the text and each word that is no slot is the same. Slots
+    at the item's two ends are not held against others: a name there may go on into the text around it.
+    ``exact`` says that all slots' values are the item's own. ``h`` is the text's hash, which tells rows apart
     that share an id; rows equal in both count once. Null, empty and very short texts and items match nothing.
     Null ids and repeated items are kept apart by their texts; other columns are ignored.
 

@@ -7,6 +7,7 @@ from millrace.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
 TYPES = {u: kind for kind, line in UNITS.items() for u in line.split() if "/" not in u}
+SLOTS = {"<num>", "<name>", *UNITS}
 WORD = regex.compile(r"(?V1)(?:[\p{L}\p{M}])+|\p{N}+(?:[.,]\p{N}+)*|[.!?\n]")
 
 
@@ -59,17 +60,21 @@ def brute(docs, items, width=8, coverage=0.5):
         for w in {a[2] for a in asked}:
             for i in range(len(c) - w + 1):
                 place[tuple(k for k, _ in c[i : i + w])].append(i)
-        met = defaultdict(lambda: (set(), set(), 0))
+        met = defaultdict(lambda: (set(), set(), set(), 0))
         for item, ic, w, starts in asked:
             for i in starts:
                 for j in place[tuple(k for k, _ in ic[i : i + w])]:
-                    at, slots, _ = met[item, j - i]
+                    at, every, held, _ = met[item, j - i]
                     at.add(i)
-                    slots |= {(a, b) for (_, a), (_, b) in zip(ic[i : i + w], c[j : j + w], strict=True)}
-                    met[item, j - i] = at, slots, max(1, len(ic) - width + 1)
-        for (item, _), (at, slots, n) in met.items():
-            exact = all(a == b for a, b in slots)
-            if len(at) / n >= coverage and (exact or len(slots) == len({a for a, _ in slots})):
+                    for k in range(w):
+                        pair = ic[i + k][1], c[j + k][1]
+                        every.add(pair)
+                        if i + k not in (0, len(ic) - 1) or c[j + k][0] not in SLOTS:
+                            held.add(pair)
+                    met[item, j - i] = at, every, held, max(1, len(ic) - width + 1)
+        for (item, _), (at, every, held, n) in met.items():
+            exact = all(a == b for a, b in every)
+            if len(at) / n >= coverage and (exact or len(held) == len({a for a, _ in held})):
                 found[doc, item] = max(found.get((doc, item), (0, False)), (len(at) / n, exact))
     return found
 
@@ -126,6 +131,14 @@ def test_asked_otherwise(spark):
     assert got == brute(docs, item) and got[1, 1] == (1.0, False) and (3, 1) not in got
 
 
+def test_names_that_go_on(spark):
+    """Names around an item run together with its first and last word, which stand in it as other words too."""
+    item = [(1, "Of all the lands that lie west of the river Anna likes best the one that looks on Paris")]
+    docs = [(1, "they saw Peter Of all the lands that lie west of the river Anna likes best the one that looks on Paris Match and went")]
+    d, b = frames(spark, docs, item)
+    assert rows(contaminated(d, b)) == brute(docs, item) == {(1, 1): (1.0, False)}
+
+
 def test_runs_of_numbers(spark):
     """One key at every place of text and items, over several blocks. A text of one number holds them all, as
     each slot value has one value there."""
