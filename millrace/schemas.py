@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# --- fixed values: names and defaults of the record, as results have them today -----------
+
 CANONICAL = T.StructType(
     [
         T.StructField("title", T.StringType()),
