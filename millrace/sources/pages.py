@@ -45,12 +45,19 @@ def _parsed(pages: DataFrame, html: str, keep: Sequence[str], *extra: str) -> Da
         *kept, F.explode(M.elements(page, "article", "product_pod")).alias("block")
     )
     block = F.col("block")
-    raw = products.select(
+    found = products.select(
         *kept,
         block,
-        M.raw_attribute(M.first_start_tag(M.first_element(block, "h3"), "a"), "title").alias("title"),
-        M.raw_text(M.first_of_class(block, "price_color")).alias("price"),
-        M.raw_text(M.first_of_class(block, "availability")).alias("availability"),
+        M.first_element(block, "h3").alias("title"),
+        M.first_of_class(block, "price_color").alias("price"),
+        M.first_of_class(block, "availability").alias("availability"),
+    )
+    raw = found.select(
+        *kept,
+        block,
+        M.raw_attribute(M.first_start_tag(F.col("title"), "a"), "title").alias("title"),
+        M.raw_text(F.col("price")).alias("price"),
+        M.raw_text(F.col("availability")).alias("availability"),
         M.raw_attribute(M.first_start_tag(block, "p", "star-rating"), "class").alias("stars"),
     )
     read = raw.select(
@@ -72,7 +79,9 @@ def _parsed(pages: DataFrame, html: str, keep: Sequence[str], *extra: str) -> Da
 def with_next_url(pages: DataFrame, base_url: str, html: str = "html", name: str = "next_url") -> DataFrame:
     """Add the URL behind the first link of the first next-page list item, or NULL."""
     item = M.first_element(M.without_inert(quoted(html)), "li", "next")
-    raw = pages.withColumn(name, M.raw_attribute(M.first_start_tag(item, "a"), "href"))
+    # in steps, so that an expression a later one names twice is computed once
+    found = pages.withColumn(name, item)
+    raw = found.withColumn(name, M.raw_attribute(M.first_start_tag(quoted(name), "a"), "href"))
     return raw.withColumn(name, F.concat(F.lit(base_url), M.unescape(quoted(name))))
 
 

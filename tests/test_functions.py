@@ -1,4 +1,6 @@
 import math
+import random
+from html.parser import HTMLParser
 
 import pytest
 from pyspark.sql import functions as F
@@ -139,3 +141,65 @@ def test_long_markup_does_not_overflow(values):
     junk = "<p " + "x" * 200_000
     got = values(lambda c: markup.raw_text(markup.first_of_class(c, "price_color")), [long_tag, junk + long_tag, "<" * 100_000])
     assert got[0] == "£1" and got[2] is None
+
+
+class _Tree(HTMLParser):
+    """Elements as Python's parser gives them, with a list as the stack."""
+
+    def __init__(self, wanted):
+        super().__init__(convert_charrefs=False)
+        self.wanted, self.stack, self.found, self.source = wanted, [], [], ""
+
+    def read(self, page):
+        self.source, self.starts = page, [0]
+        for line in page.split("\n"):
+            self.starts.append(self.starts[-1] + len(line) + 1)
+        self.feed(page)
+        self._pop(0, len(page))
+        return [text for _, text in sorted(self.found)]
+
+    def _at(self):
+        line, column = self.getpos()
+        return self.starts[line - 1] + column
+
+    def _pop(self, depth, at):
+        for _, first in self.stack[depth:]:
+            if first is not None:
+                self.found.append((first, self.source[first:at]))
+        del self.stack[depth:]
+
+    def handle_starttag(self, tag, attrs):
+        is_wanted = self.wanted(tag, (dict(attrs).get("class") or "").split())
+        if tag in markup.VOID:
+            self.found += [(self._at(), self.get_starttag_text())] if is_wanted else []
+        else:
+            self.stack.append((tag, self._at() if is_wanted else None))
+
+    def handle_startendtag(self, tag, attrs):
+        if self.wanted(tag, (dict(attrs).get("class") or "").split()):
+            self.found.append((self._at(), self.get_starttag_text()))
+
+    def handle_endtag(self, tag):
+        depths = [i for i, (name, _) in enumerate(self.stack) if name == tag]
+        if depths:
+            self._pop(depths[-1], self._at())
+
+
+def test_elements_as_a_parser_gives_them(values):
+    draw = random.Random(5)
+    tags = ["<a>", "</a>", "<a class='x'>", '<p class="y x">', "<p>", "</p>", "<br>", "<img class=x>", "<p class=x />", "<b/>", "</b>", "<b>", "t", "\n", "1 < 2", "</br>"]
+    pages = ["".join(draw.choices(tags, k=draw.randrange(25))) for _ in range(400)]
+    pages += ["<p class=x>" + "<a><b>" * 6 + "t" + "</b></a>" * 6 + "</p>u", "", "<P Class=x><p>a</P>b</p>c", "no tag", "<p class=x", "<div><p class=x>a</div>b"]
+    trees = [_Tree(lambda tag, names: tag == "p" and "x" in names).read(page) for page in pages]
+    assert values(lambda c: markup.elements(c, "p", "x"), pages) == trees
+    assert values(lambda c: markup.first_element(c, "p", "x"), pages) == [tree[0] if tree else None for tree in trees]
+    of_any = [_Tree(lambda tag, names: "x" in names).read(page) for page in pages]
+    assert values(lambda c: markup.first_of_class(c, "x"), pages) == [tree[0] if tree else None for tree in of_any]
+    assert any(len(tree) > 2 for tree in trees) and any(t.count("<p") > 1 for tree in trees for t in tree)
+    assert values(lambda c: markup.elements(c, "p", "x"), [None]) == [None]
+
+
+def test_deep_markup_ends(values):
+    deep = "<p class=x>" + "<i>" * 3000 + "t" + "</i>" * 3000 + "</p>"
+    unclosed = "<p class=x>" + "<i>" * 20_000
+    assert values(lambda c: F.length(markup.elements(c, "p", "x")[0]), [deep, unclosed]) == [len(deep) - 4, len(unclosed)]
