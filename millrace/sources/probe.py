@@ -20,6 +20,7 @@ FORMAT_PROBE = 32
 HEAD_BYTES = 64 * 1024
 #: files above this size are not loaded whole to look at their head
 WHOLE_FILE_LIMIT = 1024 * 1024
+_GZIP_HEX = "1F8B"
 
 _QUOTED = '"[^"]*+(?:""[^"]*+)*+"'
 
@@ -115,7 +116,9 @@ def file_heads(spark: SparkSession, path: str, n: int = HEAD_BYTES, glob: str |
         "path",
         "uri",
         "length",
-        F.substring(F.col("content"), F.lit(1), F.greatest(F.lit(n), first_line)).alias("content"),
+        F.when(F.hex(F.substring("content", 1, 2)) == _GZIP_HEX, F.col("content"))
+        .otherwise(F.substring(F.col("content"), F.lit(1), F.greatest(F.lit(n), first_line)))
+        .alias("content"),
     )
     return whole.unionByName(large.mapInPandas(_range_reader(n), whole.schema)) if ranged else whole
 
@@ -141,28 +144,62 @@ def _range_reader(n: int):
             for uri in batch["uri"]:
                 filesystem, name = _filesystem(uri)
                 with filesystem.open_input_stream(name, compression=None) as stream:
-                    head = chunk = stream.read(n)
-                    while chunk and b"\n" not in head.lstrip(b"\r\n"):
-                        chunk = stream.read(n)
-                        head += chunk
-                heads.append(head)
+                    head = [stream.read(n)]
+                    ends = _line_ends(head[0])
+                    while not ends(head[-1]):
+                        head.append(stream.read(n))
+                heads.append(b"".join(head))
             yield batch.assign(content=heads)
 
     return read
 
 
+def _line_ends(start: bytes):
+    """A function of a file's pieces, in order: has its first line with text ended, or the file? What a gzip file
+    packs is looked at, not its own bytes."""
+    import zlib
+
+    unpack = zlib.decompressobj(31) if start.startswith(b"\x1f\x8b") else None
+    begun = False
+
+    def ends(piece: bytes) -> bool:
+        nonlocal begun
+        if not piece:
+            return True
+        if unpack is not None:
+            try:
+                piece = unpack.decompress(piece)
+            except zlib.error:
+                return True
+        if not begun:
+            piece = piece.lstrip(b"\r\n")
+            begun = bool(piece)
+        return b"\n" in piece or (unpack is not None and unpack.eof)
+
+    return ends
+
+
 def _unpacked(batches):
-    """Heads of compressed files as the heads of what is in them."""
+    """Heads of compressed files as the heads of what is in them: to the end of the first line with text, and
+    16 times a head's size at least."""
     import zlib
 
-    for batch in batches:
-        heads = []
-        for head in batch["content"]:
+    def first_line(packed: bytes) -> bytes | None:
+        unpack, pieces, begun = zlib.decompressobj(31), [], False
+        while True:
             try:
-                heads.append(zlib.decompressobj(31).decompress(head, 16 * HEAD_BYTES))
+                piece = unpack.decompress(packed, 16 * HEAD_BYTES)
             except zlib.error:
-                heads.append(None)
-        yield batch.assign(content=heads)
+                return None
+            packed = unpack.unconsumed_tail
+            pieces.append(piece)
+            line = piece if begun else piece.lstrip(b"\r\n")
+            begun = begun or bool(line)
+            if not piece or b"\n" in line:
+                return b"".join(pieces)
+
+    for batch in batches:
+        yield batch.assign(content=[first_line(head) for head in batch["content"]])
 
 
 def line_facts(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:

@@ -352,6 +352,18 @@ def test_compressed_and_utf16_files(spark, tmp_path):
     assert got.columns == ["title", "price", "source"] and values_of(got, "title", "price") == [("Été", "1")] * 3
 
 
+@pytest.mark.parametrize("limit", [1024 * 1024, 1000])
+def test_long_header_of_a_compressed_file(spark, tmp_path, monkeypatch, limit):
+    import gzip
+
+    monkeypatch.setattr(probe, "WHOLE_FILE_LIMIT", limit)
+    last = f"z{random.Random(1).randbytes(100_000).hex()}"  # little of it can be packed
+    header = f"a,{'b' * 2_000_000},{last}"
+    write_files(tmp_path, **{"a.csv.gz": gzip.compress(f"\n{header}\n1,2,3\n".encode()), "b.csv.gz": gzip.compress(b"a,c\n4,5\n")})
+    profiled = probe.profile_files(spark, str(tmp_path)).select("header")
+    assert sorted(r.header for r in profiled.collect()) == [header, "a,c"]
+
+
 @pytest.mark.parametrize("content", [b"<!DOCTYPE html><html><body>expired, sorry</body></html>", b"\x7fELF\x00\x01\x02, \x00\n"])
 def test_what_is_no_table_is_refused_by_name(spark, tmp_path, content):
     write_files(tmp_path, **{"good.csv": b"a,b\n1,2\n", "odd.csv": content})
