@@ -52,3 +52,42 @@ def test_small_tables(spark):
 def test_a_new_shard_leaves_the_others_points(spark):
     old, new = dict(ring(24, 128)), dict(ring(25, 128))
     assert all(new[at] in (s, 24) for at, s in old.items())
+
+
+def walked(keyed, shards, points):
+    """Shard of each row, placed one by one: first those whose own shard has room, then the others clockwise."""
+    nodes = ring(shards, points)
+    room = [len(keyed) // shards + (s < len(keyed) % shards) for s in range(shards)]
+    arc_of = {r: next((i for i, (at, _) in enumerate(nodes) if r[1] % 2**32 <= at), 0) for r in keyed}
+    shard_of, waiting = {}, []
+    for row in sorted(keyed, key=lambda r: (arc_of[r], r[2], r[1], r[0])):
+        home = nodes[arc_of[row]][1]
+        if room[home]:
+            room[home] -= 1
+            shard_of[row[0]] = home
+        else:
+            waiting.append(row)
+    for row in waiting:
+        at = arc_of[row]
+        while not room[nodes[at % len(nodes)][1]]:
+            at += 1
+        shard_of[row[0]] = nodes[at % len(nodes)][1]
+        room[shard_of[row[0]]] -= 1
+    return shard_of
+
+
+@pytest.mark.parametrize("shards,points", [(5, 4), (7, 1), (24, 16)])
+def test_placed_as_by_a_walk_row_by_row(spark, shards, points):
+    df = spark.createDataFrame([(i, "hot" if i % 3 == 0 else f"text {i % 200}") for i in range(700)], "doc_id long, text string")
+    keyed = df.selectExpr("doc_id", "xxhash64(text)", "int(pmod(xxhash64(doc_id, 'part'), 64))").collect()
+    got = {r.doc_id: r.shard for r in bounded_ring(df, shards, points).collect()}
+    assert got == walked([tuple(r) for r in keyed], shards, points)
+
+
+def test_rows_that_a_new_shard_moves(spark):
+    """The tightest bound moves more than the new shard's share of 1 in 25, but not twice that."""
+    df = spark.createDataFrame([(i, f"text {i}") for i in range(5000)], "doc_id long, text string")
+    old = {r.doc_id: r.shard for r in bounded_ring(df, 24).collect()}
+    new = {r.doc_id: r.shard for r in bounded_ring(df, 25).collect()}
+    moved = sum(old[i] != new[i] for i in old) / len(old)
+    assert 1 / 25 <= moved < 2 / 25
