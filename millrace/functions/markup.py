@@ -123,7 +123,8 @@ def _first(html: Column, opening: str, upto_end_tag: str) -> Column:
 
 def _plain_pattern(depth: int) -> str:
     """Pattern of a start tag and content in which every element is closed, up to ``depth`` levels of them."""
-    start = rf"<(?!{_VOID}[\s/>])({_ANY_NAME}){_ATTRIBUTES}(?<!/)>"
+    # void elements are tried first, so a start tag that comes to this is no void one's
+    start = rf"<({_ANY_NAME}){_ATTRIBUTES}(?<!/)>"
     content = "[^<]*+"
     for level in range(depth, 0, -1):
         content = rf"[^<]*+(?:(?:<{_VOID}(?=[\s/>]){_ATTRIBUTES}>|{start}{content}</\{level}\s*+>)[^<]*+)*+"
